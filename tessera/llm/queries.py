@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, secret_scan
+from . import mixing, packing, quality, secret_scan, sharding
 from .common import read_table
 
 
@@ -18,9 +18,26 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op7_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(read_table(spark, sf_dir, "documents"))
+
+
+def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op9_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), keep_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
+    "op7_hash_tree_shards": op7_hash_tree_shards,
+    "op8_pfair_mix": op8_pfair_mix,
+    "op9_power_of_two_packing": op9_power_of_two_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_hash_tree_shards": sharding.ORACLE_SQL,
+}
