@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality, secret_scan, sharding
+from . import fuzzyhash, langid, mixing, packing, quality, secret_scan, sharding
 from .common import read_table
 
 
@@ -18,6 +18,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op3_fuzzy_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzyhash.fingerprint_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op5_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op7_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read_table(spark, sf_dir, "documents"))
 
@@ -33,6 +41,8 @@ def op9_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
+    "op3_fuzzy_fingerprints": op3_fuzzy_fingerprints,
+    "op5_compression_langid": op5_compression_langid,
     "op7_hash_tree_shards": op7_hash_tree_shards,
     "op8_pfair_mix": op8_pfair_mix,
     "op9_power_of_two_packing": op9_power_of_two_packing,
