@@ -47,12 +47,14 @@ def _drop_written() -> None:
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: lineage ends there, on storage all executors see.
 
-    The folder goes when the Python process ends.
+    The folder goes when the Python process ends.  Collecting the driver's garbage then lets Spark's cleaner drop the shuffle
+    files of the plan that ended, so a chain of such tables holds one step's shuffles at a time.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tessera-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

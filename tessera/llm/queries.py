@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fuzzyhash, langid, mixing, packing, quality, secret_scan, sharding
+from . import fuzzyhash, jaccard, langid, mixing, packing, quality, secret_scan, sharding
 from .common import read_table
 
 
@@ -38,6 +38,10 @@ def op9_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), keep_ids=False)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -46,8 +50,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_hash_tree_shards": op7_hash_tree_shards,
     "op8_pfair_mix": op8_pfair_mix,
     "op9_power_of_two_packing": op9_power_of_two_packing,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
     "op7_hash_tree_shards": sharding.ORACLE_SQL,
+    "op10_jaccard_join": jaccard.ORACLE_SQL,
 }
