@@ -115,11 +115,12 @@ def _encoder(path: str) -> WordIds:
     return _encoders[path]
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, longest: int = MAX_LENGTH, end_id: int = END_ID, keep_ids: bool = True, spread: int = 256) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, longest: int = MAX_LENGTH, end_id: int = END_ID, keep_ids: bool = True, spread: int = 256, rank: tuple[str, ...] = ()) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids.
 
     ``longest`` is a power of two.  ``tokenizer`` is the path of a tokenizers file, the same on all executors.  ``spread`` cuts each
-    bucket, for the numbering of its sequences, into so many sub-groups.
+    bucket, for the numbering of its sequences, into so many sub-groups.  ``rank`` names columns that give the order of the documents, so of the sequences in each bucket; the
+    first should have few values (a file's name, say), as the numbering goes by it.  Without it the order is that of a hash.
     """
     if longest & longest - 1 or longest < 1:
         raise ValueError("longest must be a power of two")
@@ -129,16 +130,18 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, longest: int =
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     small_batches(docs.sparkSession)
     path = str(tokenizer)
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
+    ranks = docs.select(*[F.col(c).alias(f"_rank{i}") for i, c in enumerate(rank)]).schema.fields
+    extra = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in ranks)
+    schema = extra + "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for batch in batches:
             rows: list[list] = [[] for _ in range(5)]
-            held = []
+            held, counts = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = np.append(encoder.ids(text.as_py() or ""), np.uint32(end_id))
-                start = 0
+                start, before = 0, len(rows[0])
                 for size in pieces_of(len(ids), longest):
                     part = ids[start : start + size]
                     for column, value in zip(rows, (doc_id, start, size, zlib.crc32(part.tobytes()), len(ids)), strict=True):
@@ -146,14 +149,17 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, longest: int =
                     if keep_ids:
                         held.append(part.astype(np.int32))
                     start += size
+                counts.append(len(rows[0]) - before)
             columns = [pa.array(c, pa.int64()) for c in rows]
             if keep_ids:
                 columns.append(pa.array(held, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(columns)])
+            of = pa.array(np.repeat(np.arange(len(counts)), counts))
+            passed = [batch.column(2 + i).take(of) for i in range(len(ranks))]
+            yield pa.RecordBatch.from_arrays([*passed, *columns], names=[*[f.name for f in ranks], *["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(columns)]])
 
-    cut = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(pieces, schema), "pieces")
-    order = ["doc_id", "start", "ids_crc32", "doc_tokens"]
-    cut = cut.withColumn("_sub", F.pmod(F.xxhash64("doc_id", "start"), F.lit(spread)).cast("int"))
+    cut = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f.name) for c, f in zip(rank, ranks, strict=True)]).mapInArrow(pieces, schema), "pieces")
+    order = [*[f.name for f in ranks[1:]], "doc_id", "start", "ids_crc32", "doc_tokens"]
+    cut = cut.withColumn("_sub", F.col("_rank0") if ranks else F.pmod(F.xxhash64("doc_id", "start"), F.lit(spread)).cast("int"))
     inside = numbered(cut, ["length"], "_sub", order, "_in_bucket")
     # Bounded: one row for each power of two up to ``longest``.
     from pyspark.sql import Window
