@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fuzzyhash, jaccard, langid, mixing, packing, quality, secret_scan, sharding
+from . import fuzzyhash, htmltext, jaccard, langid, mixing, packing, quality, secret_scan, sharding
 from .common import read_table
 
 
@@ -22,6 +22,10 @@ def op3_fuzzy_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzyhash.fingerprint_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.page_digest(read_table(spark, sf_dir, "pages"))
+
+
 def op5_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_digest(read_table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_fuzzy_fingerprints": op3_fuzzy_fingerprints,
+    "op4_html_extraction": op4_html_extraction,
     "op5_compression_langid": op5_compression_langid,
     "op7_hash_tree_shards": op7_hash_tree_shards,
     "op8_pfair_mix": op8_pfair_mix,
