@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fuzzyhash, htmltext, jaccard, langid, mixing, packing, quality, secret_scan, sharding
+from . import fuzzyhash, htmltext, jaccard, langid, mixing, packing, quality, secret_scan, sharding, substrings
 from .common import read_table
 
 
@@ -30,6 +30,10 @@ def op5_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeat_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op7_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fuzzy_fingerprints": op3_fuzzy_fingerprints,
     "op4_html_extraction": op4_html_extraction,
     "op5_compression_langid": op5_compression_langid,
+    "op6_suffix_automaton_dedup": op6_suffix_automaton_dedup,
     "op7_hash_tree_shards": op7_hash_tree_shards,
     "op8_pfair_mix": op8_pfair_mix,
     "op9_power_of_two_packing": op9_power_of_two_packing,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_suffix_automaton_dedup": substrings.ORACLE_SQL,
     "op7_hash_tree_shards": sharding.ORACLE_SQL,
     "op10_jaccard_join": jaccard.ORACLE_SQL,
 }
