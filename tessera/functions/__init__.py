@@ -1 +1 @@
-
+"""Column functions: names, codes, numbers, similarity."""
