@@ -39,9 +39,9 @@ def parse_rows(lines: DataFrame) -> DataFrame:
     Separators, short rows, headers, subtotals and rows with a spoilt number go, as do rows with neither both parts nor a printed total.
     """
     rows = lines.where(F.col("text").startswith("|") & ~F.col("text").rlike("^\\|\\s*-+")).withColumn("cells", cells_of())
-    rows = rows.where(F.size("cells") >= 7).withColumn("comune_raw", F.col("cells")[0])
+    rows = rows.where(F.size("cells") >= 7).withColumn("comune_raw", F.get("cells", F.lit(0)))
     rows = rows.where((F.col("comune_raw") != "COMUNI") & ~F.upper("comune_raw").rlike(HEADER_WORDS) & ~is_subtotal(F.col("comune_raw")))
-    printed, men, women, literate = (F.col("cells")[k] for k in range(1, 5))
+    printed, men, women, literate = (F.get("cells", F.lit(k)) for k in range(1, 5))
     good = ~(number_error(printed) | number_error(men) | number_error(women) | number_error(literate))
     total = F.coalesce(parse_number(men) + parse_number(women), parse_number(printed))
     out = rows.where(good).withColumn("popres_1921_tot", total).where("popres_1921_tot is not null")

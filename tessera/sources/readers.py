@@ -41,7 +41,7 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """Code, key, name, sigla, start, end, idx; all text read as text (``NA`` stays), trimmed, codes padded, bad dates null."""
     raw = _named(spark, path, ", ".join(f"{c} string" for c in REGISTRY), ",")
     text = lambda c: F.coalesce(F.trim(c), F.lit(""))
-    day = lambda c: F.coalesce(F.try_to_date(F.col(c), F.lit("yyyy-MM-dd")), F.try_to_date(F.substring(c, 1, 10), F.lit("yyyy-MM-dd")))
+    day = lambda c: F.coalesce(F.try_to_date(F.col(c), "yyyy-MM-dd"), F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
     return with_idx(raw.select(zero_fill(F.col("CODISTAT")).alias("code"), text("CODCATASTALE").alias("key"), text("DENOMTRASLITTERATA").alias("name"), text("SIGLAPROVINCIA").alias("sigla"), day("DATAISTITUZIONE").alias("start"), live_end(day("DATACESSAZIONE")).alias("end")))
 
 
@@ -54,7 +54,7 @@ def read_lineage(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             if c.endswith("_cod"):
                 table = table.withColumn(c, pad_code(F.col(c)))
             elif c == "event_date":
-                table = table.withColumn(c, F.try_to_date(F.substring(c, 1, 10), F.lit("yyyy-MM-dd")))
+                table = table.withColumn(c, F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
         out[name] = table
     return out
 
