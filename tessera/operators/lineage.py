@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import plain_name, province_prefix
+from .cut import cut
 
 #: Fixed values.
 METHODS = ("DIRECT", "CATASTALE", "SISTAT", "LOST_TERRITORY", "ANPR_FALLBACK", "UNTRACED")
@@ -33,22 +34,18 @@ def closure(edges: DataFrame, ref: DataFrame, depth: int = MAX_DEPTH) -> DataFra
     Reference codes absorb.  One join a level, each on what the last level found new, so cycles end and work is bounded by the pairs
     reached.  Levels are written to the checkpoint folder, or stay in the plan where none is set.
     """
-    spark = edges.sparkSession
-    has_folder = spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
     steps = edges.where("src is not null and dst is not null and src <> '' and dst <> ''" if dict(edges.dtypes)["src"] == "string" else "src is not null and dst is not null").select("src", "dst").distinct()
     ends = ref.select(F.col("code").alias("dst")).distinct().withColumn("absorbs", F.lit(True))
     steps = steps.join(ends.withColumnRenamed("dst", "src").drop("absorbs"), "src", "left_anti").join(ends, "dst", "left").select("src", "dst", F.coalesce("absorbs", F.lit(False)).alias("absorbs"))
-    steps = steps.checkpoint() if has_folder else steps.cache()
+    steps = cut(steps)
     reached = frontier = steps.select(F.col("src").alias("code"), F.col("dst").alias("at"), "absorbs")
     for _ in range(depth - 1):
         onward = frontier.where(~F.col("absorbs")).select("code", F.col("at").alias("src")).join(steps, "src").select("code", F.col("dst").alias("at"), "absorbs").distinct()
         frontier = onward.join(reached.select("code", "at"), ["code", "at"], "left_anti")
-        frontier = frontier.checkpoint() if has_folder else frontier.cache()
+        frontier = cut(frontier)
         if frontier.isEmpty():
             break
-        reached = reached.unionByName(frontier)
-        if has_folder:
-            reached = reached.checkpoint()
+        reached = cut(reached.unionByName(frontier))
     return reached.where("absorbs").select("code", F.col("at").alias("dest")).distinct()
 
 
@@ -83,7 +80,7 @@ def forward_mapping(alive: DataFrame, ref: DataFrame, bridge: DataFrame, reach:
     none = F.array().cast("array<string>")
     method = F.when(F.col("_ref"), "DIRECT").when(F.col("_bridge").isNotNull(), "CATASTALE").when(F.col("_reach").isNotNull(), "SISTAT").when(lost, "LOST_TERRITORY").when(F.col("_rescue").isNotNull(), "ANPR_FALLBACK").otherwise("UNTRACED")
     dest = F.when(F.col("_ref"), F.array("code")).when(F.col("_bridge").isNotNull(), F.array("_bridge")).when(F.col("_reach").isNotNull(), F.col("_reach")).when(lost, none).when(F.col("_rescue").isNotNull(), F.array("_rescue")).otherwise(none)
-    return found.select("label", "code", dest.alias("dest"), method.alias("method"))
+    return cut(found.select("label", "code", dest.alias("dest"), method.alias("method")))
 
 
 def method_counts(forward: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import accent_name, loose_name, match_name, plain_name
 from ..functions.similarity import length_bound, seq_ratio
+from .cut import cut
 
 #: Fixed values.
 FUZZY_CUTOFF, POOL_THRESHOLD, ESCALATE_BELOW = 0.85, 0.75, 0.85
@@ -95,24 +96,23 @@ def link_names(rows: DataFrame, panel: DataFrame, cutoff: float = FUZZY_CUTOFF)
     """``rows`` (row_id, province, norm) with name_status and panel_idx.
 
     Exact then fuzzy in the row's province; what is left, and rows without a province in the panel, exact then fuzzy in the whole panel.  Of panel
-    rows (idx, province, norm) with one name the first counts.  Only rows a stage leaves open reach the next.
+    rows (idx, province, norm) with one name the first counts.  Distinct names are linked, and only what a stage leaves open reaches the next.
     """
     named = panel.select("idx", "province", "norm")
-    first_here = named.where("province is not null").groupBy("province", "norm").agg(F.min("idx").alias("panel_idx"))
-    first_any = named.groupBy("norm").agg(F.min("idx").alias("panel_idx"))
-    exact_here = rows.join(first_here, ["province", "norm"], "left")
-    done = exact_here.where("panel_idx is not null").select("row_id", F.lit("exact").alias("name_status"), "panel_idx")
-    left = exact_here.where("panel_idx is null").drop("panel_idx")
-    near_here = fuzzy_f1(left.where("province is not null").select("province", F.col("norm").alias("word")), first_here.select("province", F.col("norm").alias("name")), cutoff, ["province"])
-    hit = left.join(near_here.withColumnRenamed("word", "norm"), ["province", "norm"], "left").join(first_here.select("province", F.col("norm").alias("name"), "panel_idx"), ["province", "name"], "left")
-    done = done.unionByName(hit.where("panel_idx is not null").select("row_id", F.lit("fuzzy").alias("name_status"), "panel_idx"))
-    left = hit.where("panel_idx is null").select("row_id", "norm")
-    exact_any = left.join(first_any, "norm", "left")
-    done = done.unionByName(exact_any.where("panel_idx is not null").select("row_id", F.lit("exact").alias("name_status"), "panel_idx"))
-    left = exact_any.where("panel_idx is null").select("row_id", "norm")
-    near_any = fuzzy_f1(left.select(F.col("norm").alias("word")), first_any.select(F.col("norm").alias("name")), cutoff)
-    hit = left.join(near_any.withColumnRenamed("word", "norm"), "norm", "left").join(first_any.select(F.col("norm").alias("name"), "panel_idx"), "name", "left")
-    return done.unionByName(hit.select("row_id", F.when(F.col("panel_idx").isNotNull(), "fuzzy").otherwise("no_ref").alias("name_status"), "panel_idx"))
+    first_here = named.where("province is not null").groupBy("province", "norm").agg(F.min("idx").alias("here"))
+    first_any = named.groupBy("norm").agg(F.min("idx").alias("anywhere"))
+    asked = cut(rows.select("province", "norm").distinct().join(first_here, ["province", "norm"], "left"))
+    open_here = asked.where("here is null and province is not null").select("province", F.col("norm").alias("word"))
+    near = fuzzy_f1(open_here, first_here.select("province", F.col("norm").alias("name")), cutoff, ["province"])
+    near = near.join(first_here.select("province", F.col("norm").alias("name"), F.col("here").alias("near_here")), ["province", "name"]).select("province", F.col("word").alias("norm"), "near_here")
+    asked = cut(asked.join(near, ["province", "norm"], "left").join(first_any, "norm", "left"))
+    still_open = asked.where("here is null and near_here is null and anywhere is null").select(F.col("norm").alias("word"))
+    far = fuzzy_f1(still_open, first_any.select(F.col("norm").alias("name")), cutoff)
+    far = far.join(first_any.select(F.col("norm").alias("name"), F.col("anywhere").alias("near_any")), "name").select(F.col("word").alias("norm"), "near_any")
+    found = asked.join(far, "norm", "left")
+    status = F.when(F.col("here").isNotNull(), "exact").when(F.col("near_here").isNotNull(), "fuzzy").when(F.col("anywhere").isNotNull(), "exact").when(F.col("near_any").isNotNull(), "fuzzy").otherwise("no_ref")
+    found = found.select(F.col("province").alias("_p"), F.col("norm").alias("_n"), status.alias("name_status"), F.coalesce("here", "near_here", "anywhere", "near_any").alias("panel_idx"))
+    return rows.join(found, F.col("province").eqNullSafe(F.col("_p")) & F.col("norm").eqNullSafe(F.col("_n")), "left").select("row_id", "name_status", "panel_idx")
 
 
 def region_pool(regions: DataFrame, panel: DataFrame, provinces: dict[str, list[str]]) -> DataFrame:
@@ -149,7 +149,7 @@ def link_regions(rows: DataFrame, panel: DataFrame, provinces: dict[str, list[st
     left = exact.where("hit is null").drop("hit")
     pool = region_pool(left.select("region"), panel.select("region", F.col("norm").alias("name"), "idx"), provinces)
     here = fuzzy_f2(left.select("region", F.col("norm").alias("word")), pool, ["region"]).withColumnRenamed("word", "norm")
-    placed = left.join(here, ["region", "norm"], "left")
+    placed = cut(left.join(here, ["region", "norm"], "left"))
     poor = placed.where(F.coalesce("score", F.lit(0.0)) < accept)
     anywhere = fuzzy_f2(poor.select(F.col("norm").alias("word")), names.select(F.col("norm").alias("name"), "idx")).select(F.col("word").alias("norm"), F.col("name").alias("any_name"), F.col("score").alias("any_score"))
     both = placed.join(anywhere, "norm", "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import accent_name, loose_name, modern_province
 from ..operators import corrections, lineage, matching, ocr, temporal, validation
+from ..operators.cut import cut
 from ..sources import dimensions, readers
 
 
@@ -60,7 +61,7 @@ def link_extractions(texts: DataFrame, panel: DataFrame) -> dict[str, DataFrame]
     links = matching.link_names(asked, panel.select("idx", "province", "norm"))
     found = rows.join(links, "row_id").join(panel.select(F.col("idx").alias("panel_idx"), F.col("comune_matchable_50").alias("csv_match_name"), F.col("ind_workers_1927").alias("csv_value")), "panel_idx", "left")
     found = validation.with_value_status(found, "ind_workers_1927", "csv_value").withColumn("match_status", F.concat_ws(":", "name_status", "value_status"))
-    linked = found.select("file", "i", "provincia", "numero_ordine", "comune", "ind_workers_1927", "phase", "csv_match_name", "csv_value", "name_status", "value_status", "match_status", "exact_equal")
+    linked = cut(found.select("file", "i", "provincia", "numero_ordine", "comune", "ind_workers_1927", "phase", "csv_match_name", "csv_value", "name_status", "value_status", "match_status", "exact_equal"))
     rates = validation.match_rates(linked, "file")
     problems = readers.document_problems(parsed)
     gate = validation.review_gate(rates)
@@ -72,7 +73,7 @@ def correct_and_fill(linked: DataFrame, fixes: DataFrame, panel: DataFrame) -> d
     """Entry 2, apply and backfill: corrected rows with fresh status, and the panel with its gaps filled by name."""
     keyed = linked.withColumn("row_id", F.struct("file", "i"))
     rows = keyed.select("row_id", "file", F.col("comune").alias("name"), F.col("ind_workers_1927").alias("value"), modern_province(F.col("provincia")).alias("modern"))
-    fixed = corrections.apply_corrections(rows, fixes)
+    fixed = cut(corrections.apply_corrections(rows, fixes))
     known = panel.select("province").where("province is not null").distinct().select(F.col("province").alias("modern"), F.lit(True).alias("_k"))
     asked = fixed.join(known, "modern", "left").select("row_id", F.when(F.col("_k"), F.col("modern")).alias("province"), accent_name(F.col("name")).alias("norm"))
     links = matching.link_names(asked, panel.select("idx", "province", "norm"))
@@ -80,6 +81,7 @@ def correct_and_fill(linked: DataFrame, fixes: DataFrame, panel: DataFrame) -> d
     fresh = validation.with_value_status(fresh, "value", "csv_value").withColumn("match_status", F.concat_ws(":", "name_status", "value_status"))
     old = keyed.drop("comune", "ind_workers_1927").join(fixed.select("row_id", F.col("name").alias("comune"), F.col("value").alias("ind_workers_1927"), "value_fixed", "name_fixed"), "row_id")
     corrected = corrections.refresh_status(old, fresh.select("row_id", "match_status", "csv_match_name", "csv_value"), "row_id", ["csv_match_name", "csv_value"])
+    corrected = cut(corrected)
     fills = corrections.usable_fills(corrected, "ind_workers_1927", "csv_match_name", "row_id")
     return {"corrected": corrected, "panel": corrections.backfill(panel, fills, "ind_workers_1927"), "chains": corrections.rename_chains(fixes)}
 
