@@ -368,11 +368,11 @@ def _make_page(rng: random.Random) -> str:
 
     def foot() -> str:
         tag = rng.choice(["footer", "footer", "div"])
-        inner = rng.choice([f"&copy; {words(rng.randint(2, 40), False)}", f"<p>{words(rng.randint(3, 40), False)}</p>", links(rng.randint(2, 9)), links(rng.randint(2, 9)) + f"<p>{words(rng.randint(3, 30), False)}</p>"])
+        inner = rng.choice([f"&copy; {words(rng.randint(2, 60), False)}", f"&copy; {words(1, False)} &middot; {words(rng.choice([1, 4, 15, 40, 90]), False)}", f"<p>{words(rng.randint(3, 40), False)}</p>", links(rng.randint(2, 9)), links(rng.randint(2, 9)) + f"<p>{words(rng.randint(3, 30), False)}</p>"])
         return f"<{tag}{attrs('footer copyright bottom legal imprint', 1 if tag == 'div' else 0.4)}>{inner}</{tag}>"
 
     def para() -> str:
-        text = words(rng.choice([1, 2, 5, 12, 30, 60, 120]), True)
+        text = words(rng.choice([1, 2, 2, 3, 5, 12, 30, 60, 120]), True)
         if rng.random() < 0.2:
             text += f' <a href="/x">{words(2, True)}</a> {words(4, True)}'
         return rng.choice([f"<p>{text}</p>"] * 4 + [f"<p><b>{text}<br>", f"<p>{text}", f"<div>{text}</div>", f"<p><em>{text}</em></p>"])
@@ -395,8 +395,8 @@ def _make_page(rng: random.Random) -> str:
             return f"<figure><img src=x><figcaption>{words(rng.randint(2, 12), True)}</figcaption></figure>"
         return rng.choice([advert, share, side, form, notice])()
 
-    title = rng.choice([f"<h1>{words(rng.randint(1, 12), True)}</h1>", f"<header><h1>{words(rng.randint(2, 9), True)}</h1></header>", f"<h2>{words(rng.randint(2, 9), True)}</h2>", ""])
-    inner = title + "".join(body_part() for _ in range(rng.choice([1, 2, 4, 8, 16])))
+    title = rng.choice([f"<h1>{words(rng.choice([1, 2, 3, 6, 12]), True)}</h1>", f"<header><h1>{words(rng.randint(2, 9), True)}</h1></header>", f"<h2>{words(rng.randint(2, 9), True)}</h2>", ""])
+    inner = title + "".join(body_part() for _ in range(rng.choice([0, 1, 1, 2, 4, 8, 16])))
     tag = rng.choice(["article"] * 4 + ["main", "div", "div", "div", "section"])
     good = attrs("content post entry article story text body article-body post-content main", 1 if tag in ("div", "section") and rng.random() < 0.8 else 0.3)
     inner = f"<{tag}{good}>{inner}" + ("" if rng.random() < 0.05 else f"</{tag}>")
@@ -413,7 +413,7 @@ def _make_page(rng: random.Random) -> str:
 
 
 @lru_cache(2)
-def model(pages: int = 700, seed: int = 7) -> BoostedTrees:
+def model(pages: int = 1000, seed: int = 7) -> BoostedTrees:
     """Trees fitted on ``pages`` generated pages; fitted once in a process."""
     rng = random.Random(seed)
     rows, labels = [], []
