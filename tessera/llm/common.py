@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import tempfile
 import uuid
 
@@ -54,6 +55,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = f"{shared_dir(spark)}/tessera-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 

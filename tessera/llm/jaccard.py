@@ -5,14 +5,15 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
 
 1. *Pruning.* A set of n shingles that links to another shares at least ceil(t n) of them, so at most n - ceil(t n) are its own
    alone.  Of each class the first n - ceil(t n) + 1 (and ``slack`` n more) shingles by hash are looked at; classes with more
-   than n - ceil(t n) shingles that no other class has among its own go, and then, with whole sets, those that still have.
+   than n - ceil(t n) shingles that no other class has among its own go, and then, with half and with whole sets, those that still have.
 2. *Light sets* enumerate the pairs (subsets of fixed size 2) of their prefix, rarest shingles first, one shingle longer than the
    prefix filter needs: two linked sets have two of those in common.  *Heavy sets* scan the inverted lists of their prefix instead, in
    which all sets are listed.  The boundary between light and heavy is the size with the least cost: pairs enumerated
-   below, list entries scanned above.
-3. *Groups* of classes with one subset or one list are not expanded into pairs.  In each round a few pivots of each group are compared,
-   with whole sets, with the members that are not in the pivot's component yet; then the pivots leave.  Groups end when
-   all their members are in one component, so no link between components is lost, and a large group of near copies takes one pivot.
+   below, list entries scanned above (pivots make a list cost its length, not its square).
+3. *Groups* of classes with one subset or one list are not expanded into pairs; groups of the same members count once.  In each round pivots of each group (one at first,
+   then ``pivots`` times as many each time) are compared, with whole sets, with the members of like size that are not in the pivot's
+   component yet; then the pivots leave.  Groups end when all their members are in one component, so no link between
+   components is lost, and a large group of near copies takes one pivot.
 
 Nothing is capped and no group is gathered in one task: groups are aggregated before the shuffle and joined by sort-merge joins that Spark
 can split.
@@ -36,15 +37,18 @@ from .common import materialize, small_batches
 
 NULL_ID = -(1 << 63)
 
+#: Cost of an entry of a scanned list against that of an enumerated pair: the entry is joined with its list's pivots and verified.
+SCAN_COST = 4.0
+
 
 @dataclass(frozen=True)
 class JoinRules:
-    """Production parameters: words a shingle, threshold in hundredths, slack of the first pruning, pivots a round."""
+    """Production parameters: words a shingle, threshold in hundredths, slack of the first pruning, growth of the pivots."""
 
     words: int = 5
     percent: int = 75
     slack: float = 0.04
-    pivots: int = 8
+    pivots: int = 16
 
 
 _ODD = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1) for k in range(64)]
@@ -145,6 +149,14 @@ def _whole_sets(docs: DataFrame, chosen: DataFrame, rules: JoinRules) -> DataFra
     return joined.mapInArrow(sets, "node long, n long, shingles array<long>").dropDuplicates(["node"])
 
 
+def _half_pruning(whole: DataFrame, rules: JoinRules) -> DataFrame:
+    """Nodes of the whole sets that may link, by the first half of each set's shingles: as the first pruning, among fewer classes."""
+    half = whole.select("node", F.explode(F.slice("shingles", F.lit(1), F.ceil(F.size("shingles") / 2).cast("int"))).alias("shingle"))
+    alone = half.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
+    own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return whole.select("node", "n").join(own, "node", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), rules.percent)).select("node")
+
+
 def _ranked_sets(whole: DataFrame, rules: JoinRules) -> DataFrame:
     """node, n, own and shared: the shingles that others have too, as (lists' length, shingle), shortest lists first."""
     rows = whole.select("node", "n", F.explode("shingles").alias("shingle"))
@@ -159,7 +171,7 @@ def _boundary(ranked: DataFrame) -> int:
     cost = ranked.groupBy(F.floor(4 * F.log2(F.col("n").cast("double"))).alias("size")).agg(
         F.max("n").alias("most"),
         F.sum(F.size("longer").cast("double") * (F.size("longer") - 1) / 2).alias("pairs"),
-        F.sum(F.aggregate("prefix", F.lit(0.0), lambda a, x: a + x["f"])).alias("scans"),
+        F.sum(F.lit(SCAN_COST) * F.size("prefix")).alias("scans"),
     )
     rows = sorted((r["most"], r["pairs"], r["scans"]) for r in cost.collect())  # four rows for each doubling of the size
     totals = [(sum(r[1] for r in rows[:k]) + sum(r[2] for r in rows[k:]), rows[k - 1][0] if k else 0) for k in range(len(rows) + 1)]
@@ -170,13 +182,24 @@ def _groups(ranked: DataFrame, limit: int) -> DataFrame:
     """key, node and heavy: the subsets of light sets, and the lists that heavy sets scan with everyone listed."""
     heavy = F.col("n") > limit
     pairs = F.flatten(F.transform("longer", lambda x, i: F.transform(F.slice("longer", i + 2, F.size("longer")), lambda y: F.xxhash64(F.lit("pair"), x["shingle"], y["shingle"]))))
-    light = ranked.where(~heavy).select(F.explode(pairs).alias("key"), "node", F.lit(False).alias("heavy"))
-    lists = ranked.select(F.explode(F.transform("prefix", lambda x: F.xxhash64(F.lit("list"), x["shingle"]))).alias("key"), "node", heavy.alias("heavy"))
+    light = ranked.where(~heavy).select(F.explode(pairs).alias("key"), "node", "n", F.lit(False).alias("heavy"))
+    lists = ranked.select(F.explode(F.transform("prefix", lambda x: F.xxhash64(F.lit("list"), x["shingle"]))).alias("key"), "node", "n", heavy.alias("heavy"))
     scanned = lists.groupBy("key").agg(F.max("heavy").alias("any_heavy"), F.count(F.lit(1)).alias("m")).where("any_heavy and m > 1").select("key")
     shared = light.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
     return light.join(shared, "key").withColumn("listed", F.lit(False)).unionByName(lists.join(scanned, "key").withColumn("listed", F.lit(True)))
 
 
+def _distinct_groups(groups: DataFrame) -> DataFrame:
+    """One group of those with the same members: shingles of a passage that the same sets share make the same pairs.
+
+    Groups are told apart by their kind, number of members and two 64-bit digests of the members.
+    """
+    marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in range(2)]
+    seen = groups.groupBy("key", "listed").agg(F.count(F.lit(1)).alias("m"), *marks)
+    kept = seen.groupBy("listed", "m", "x0", "x1").agg(F.min("key").alias("key")).select("key", "listed")
+    return groups.join(kept, ["key", "listed"], "left_semi")
+
+
 def _verified(pairs: DataFrame, whole: DataFrame, rules: JoinRules) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
     one = whole.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -191,42 +214,55 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
     labels = edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label"))
     while True:
-        labels = materialize(labels, "labels")
         near = edges.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         least = labels.join(near, "node").select("node", F.least("label", "near").alias("to"), F.col("label").alias("was"))
         jumped = least.join(labels.select(F.col("node").alias("to"), F.col("label").alias("far")), "to", "left")
         nearer = materialize(jumped.select("node", F.least("to", F.coalesce("far", "to")).alias("label"), "was"), "labels")
+        labels = nearer.select("node", "label")
         if not nearer.where("label <> was").limit(1).count():
             return labels
-        labels = nearer.select("node", "label")
+
+
+def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels after further links: components of the links between the old labels, then the nodes' new ones."""
+    if labels is None:
+        return components(links)
+    for side in ("a", "b"):
+        links = links.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}")), side, "left").withColumn(f"l{side}", F.coalesce(f"l{side}", side))
+    joined = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    moved = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    fresh = joined.join(labels.select("node"), "node", "left_anti").select("node", "label")
+    return materialize(moved.unionByName(fresh), "labels")
 
 
 def linked_classes(docs: DataFrame, named: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame | None:
     """(node, label) of all classes that link to another, or None if none does."""
     chosen = materialize(_first_pruning(docs, named, rules), "chosen")
     whole = materialize(_whole_sets(docs, chosen, rules), "sets")
+    whole = materialize(whole.join(materialize(_half_pruning(whole, rules), "halves"), "node", "left_semi"), "kept")
     spare = _spare(F.col("n"), rules.percent)
     ranked = _ranked_sets(whole, rules)
     # Shingles of one's own come first in the order, so they take up the prefix's first places.
     ranked = ranked.withColumn("prefix", F.slice("shared", F.lit(1), F.greatest(F.lit(0), spare + 1 - F.col("own")).cast("int")))
     ranked = ranked.withColumn("longer", F.slice("shared", F.lit(1), F.greatest(F.lit(0), spare + 2 - F.col("own")).cast("int")))
     ranked = materialize(ranked.select("node", "n", "prefix", "longer"), "prefixes")
-    groups = materialize(_groups(ranked, _boundary(ranked)), "groups")
-    links = tested = labels = None
-    turn = 0
+    # Each round compares whole sets, so those that are in no group any more must not be moved again.
+    whole = materialize(whole.join(ranked.select("node"), "node", "left_semi"), "compared")
+    groups = _distinct_groups(materialize(_groups(ranked, _boundary(ranked)), "lists"))
+    tested = labels = None
+    salts = 1
     while True:
-        held = groups if labels is None else groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        if labels is None:
-            held = held.withColumn("label", F.col("node"))
+        held = groups.withColumn("label", F.col("node")) if labels is None else groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        held = materialize(held, "members")
         alive = held.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.max("heavy").alias("h"), F.max("listed").alias("t")).where("l1 <> l2 and (h or not t)").select("key")
         held = materialize(held.join(alive, "key"), "held")
         if not held.limit(1).count():
             return labels
-        # One pivot of each group at first, then one for each salt; in lists, heavy sets first.
-        salt = F.lit(0) if not turn else F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(rules.pivots))
-        pivots = held.groupBy("key", salt.alias("salt")).agg(F.min(F.struct(~F.col("heavy"), "node", "label")).alias("p")).select("key", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"), (~F.col("p.col1")).alias("pivot_heavy"))
-        pivots = materialize(pivots, "pivots")
-        pairs = held.join(pivots, "key").where("label <> pivot_label and (not listed or heavy or pivot_heavy)")
+        # One pivot of each group at first, then one for each salt, of which there are more in each round; in lists, heavy sets first.
+        salt = F.lit(0) if salts == 1 else F.pmod(F.xxhash64("node", F.lit(salts)), F.lit(salts))
+        pivots = held.groupBy("key", salt.alias("salt")).agg(F.min(F.struct((~F.col("heavy")).alias("light"), "node", "label", "n")).alias("p")).select("key", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"), (~F.col("p.light")).alias("pivot_heavy"), F.col("p.n").alias("pivot_n"))
+        alike = F.lit(100) * F.least("n", "pivot_n") >= F.lit(rules.percent) * F.greatest("n", "pivot_n")
+        pairs = held.join(pivots, "key").where((F.col("label") != F.col("pivot_label")) & (~F.col("listed") | F.col("heavy") | F.col("pivot_heavy")) & alike)
         pairs = pairs.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -234,11 +270,9 @@ def linked_classes(docs: DataFrame, named: DataFrame, rules: JoinRules = JoinRul
         tested = pairs if tested is None else tested.union(pairs)
         found = materialize(_verified(pairs, whole, rules), "links")
         if found.limit(1).count():
-            links = found if links is None else links.union(found)
-            labels = components(links)
-        gone = pivots.select("key", F.col("pivot").alias("node"))
-        groups = materialize(held.drop("label").join(gone, ["key", "node"], "left_anti"), "groups")
-        turn += 1
+            labels = _relabelled(labels, found)
+        groups = held.drop("label").join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
+        salts *= rules.pivots
 
 
 def jaccard_components(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
