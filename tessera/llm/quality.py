@@ -4,7 +4,8 @@ Each text becomes two histograms: character classes (by UTF-8 byte) and common w
 other words in one class).  The references are the summed histograms of all documents of a language, so they are gathered
 from the whole corpus, as one row of counts for each language and class.  A text is far from a language if
 the Jensen-Shannon distance (base 2, 0 to 1) of its characters or of its words exceeds its threshold; it is rejected if it is
-far from every reference.  Texts under ``min_words`` words or ``min_letters`` letters are too short to judge and pass the
+far from every reference.  A text without common words is only as far from a reference as that one's own share of common words puts it,
+and short texts scatter, so the word threshold goes by reference and length (``word_limits``).  Texts under ``min_words`` words or ``min_letters`` letters are too short to judge and pass the
 divergence rule, as does everything where no language has ``min_reference_words`` words.
 
 The base rules (too few words, too many repeated three-word windows) come first.
@@ -51,6 +52,9 @@ class QualityRules:
     min_reference_words: int = 2000
     max_char_distance: float = 0.30
     max_word_distance: float = 0.60
+    word_tail: float = 0.001
+    word_scatter: float = 1.1
+    word_floor: float = 0.5
 
 
 def _vocabulary() -> dict[bytes, int]:
@@ -137,6 +141,35 @@ def js_distances(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Lengths in words at which the word threshold is found; a text takes the greatest that it reaches.
+LENGTHS = [50 * 2 ** (k / 2) for k in range(15)]
+
+
+def word_limits(reference: np.ndarray, rules: QualityRules) -> np.ndarray:
+    """The word threshold of each length (row) and reference (column).
+
+    It is the distance that random texts of the reference's own words exceed with chance ``word_tail``, ``word_scatter`` times (real texts scatter
+    more than random ones), at least ``word_floor`` times and always less than the distance of a text without common words, at most ``max_word_distance``.  Where a text of the reference may well
+    have no common word (with chance ``word_tail`` or more), words cannot tell and it is ``max_word_distance``.
+    """
+    out = np.full((len(LENGTHS), len(reference)), rules.max_word_distance)
+    bare = np.zeros((1, N_WORD))
+    bare[0, -1] = 1
+    for k, row in enumerate(reference):
+        share, rng = row / row.sum(), np.random.default_rng(0)
+        for i, n in enumerate(LENGTHS):
+            if share[-1] ** int(n) < rules.word_tail:
+                far = js_distances(bare, row[None])[0, 0]
+                drawn = np.quantile(js_distances(rng.multinomial(int(n), share, 4000), row[None])[:, 0], 1 - rules.word_tail)
+                out[i, k] = min(rules.max_word_distance, max(rules.word_floor * far, min(rules.word_scatter * drawn, 0.999 * far)))
+    return out
+
+
+def far_words(distances: np.ndarray, n_words: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Whether each text (row) is far from each reference by its words."""
+    return distances > limits[np.maximum(np.searchsorted(LENGTHS, n_words, side="right") - 1, 0)]
+
+
 _FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, char_hist binary, word_hist binary"
 
 
@@ -192,6 +225,7 @@ def judge(features: DataFrame, references: dict[str, tuple[np.ndarray, np.ndarra
     langs = list(references)
     ref_chars = np.array([references[x][0] for x in langs]).reshape(len(langs), N_CHAR)
     ref_words = np.array([references[x][1] for x in langs]).reshape(len(langs), N_WORD)
+    limits = word_limits(ref_words, rules)
     kept_fields = [f for f in features.schema.fields if f.name not in ("char_hist", "word_hist")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept_fields) + ", base_failed boolean, char_distance double, word_distance double, nearest_lang string, kept boolean"
     names = [f.name for f in kept_fields]
@@ -205,7 +239,7 @@ def judge(features: DataFrame, references: dict[str, tuple[np.ndarray, np.ndarra
             enough = (chars[:, [0, 1, 2, 3, 10, 11, 12]].sum(1) >= rules.min_letters) & (n_words >= rules.min_words)
             if langs:
                 dc, dw = js_distances(chars, ref_chars), js_distances(common, ref_words)
-                far = ((dc > rules.max_char_distance) | (dw > rules.max_word_distance)).all(1) & enough
+                far = ((dc > rules.max_char_distance) | far_words(dw, n_words, limits)).all(1) & enough
                 near = (dc + dw).argmin(1)
                 at = np.arange(len(near))
                 cols = [pa.array(dc[at, near]), pa.array(dw[at, near]), pa.array([langs[k] for k in near], pa.string())]
@@ -230,6 +264,7 @@ def keep_good(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFram
     small_batches(docs.sparkSession)
     ref_chars = np.array([references[x][0] for x in langs]).reshape(len(langs), N_CHAR)
     ref_words = np.array([references[x][1] for x in langs]).reshape(len(langs), N_WORD)
+    limits = word_limits(ref_words, rules)
 
     @F.udf("boolean", useArrow=True)
     def passes(text):
@@ -239,6 +274,6 @@ def keep_good(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFram
         if not langs or chars[[0, 1, 2, 3, 10, 11, 12]].sum() < rules.min_letters:
             return True
         dc, dw = js_distances(chars[None].astype(float), ref_chars), js_distances(common[None].astype(float), ref_words)
-        return bool(((dc <= rules.max_char_distance) & (dw <= rules.max_word_distance)).any())
+        return bool(((dc <= rules.max_char_distance) & ~far_words(dw, np.array([base[0]]), limits)).any())
 
     return docs.where(passes(F.col("text")))

@@ -128,6 +128,33 @@ def test_divergence_keeps_clean_and_rejects_junk(spark):
     assert {r["doc_id"] for r in quality.keep_good(rows).collect()} == kept
 
 
+def common_texts():
+    """Clean texts with a fifth of common words, and as long ones of the same characters without any."""
+    rng, common = random.Random(5), quality.COMMON_WORDS["en"].split()
+    made = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(3000)]
+    made = [w for w in made if w.encode() not in quality.VOCABULARY]
+    clean = [[rng.choice(common if rng.random() < 0.2 else made) for _ in range(n)] for n in [60] * 20 + [100] * 40 + [200] * 60 + [800] * 80]
+    bare = [[w if w not in common else rng.choice(made[:50]) for w in text] for text in clean]
+    return [" ".join(t) for t in clean], [" ".join(t) for t in bare]
+
+
+def test_texts_without_common_words_are_rejected(spark):
+    clean, bare = common_texts()
+    rows = [(i, t, "en") for i, t in enumerate(clean)] + [(1000 + i, t, None) for i, t in enumerate(bare)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality.quality_digests(docs).collect()
+    assert max(r["char_distance"] for r in got) < 0.1  # their characters do not tell them apart
+    assert not any(r["kept"] for r in got if r["doc_id"] >= 1000)
+    assert sum(r["kept"] for r in got if r["doc_id"] < 1000) >= 0.99 * len(clean)
+    assert {r["doc_id"] for r in quality.keep_good(docs).collect()} == {r["doc_id"] for r in got if r["kept"]}
+
+
+def test_words_do_not_judge_a_language_outside_the_list():
+    reference = np.zeros((1, quality.N_WORD))
+    reference[0, -1] = 5000
+    assert (quality.word_limits(reference, quality.QualityRules()) == quality.QualityRules().max_word_distance).all()
+
+
 def test_js_distance_is_a_metric_between_0_and_1():
     a = np.array([[1.0, 0, 0], [1, 1, 0], [0, 0, 0]])
     got = quality.js_distances(a, np.array([[2.0, 0, 0], [0, 0, 5]]))
