@@ -5,7 +5,7 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
 
 1. *Pruning.* A set of n shingles that links to another shares at least ceil(t n) of them, so at most n - ceil(t n) are its own
    alone.  Of each class the first n - ceil(t n) + 1 (and ``slack`` n more) shingles by hash are looked at; classes with more
-   than n - ceil(t n) shingles that no other class has among its own go, and then, with half and with whole sets, those that still have.
+   than n - ceil(t n) shingles that no other class has among its own go, and then, with the lower half of all hashes and with whole sets, those that still have.
 2. *Light sets* enumerate the pairs (subsets of fixed size 2) of their prefix, rarest shingles first, one shingle longer than the
    prefix filter needs: two linked sets have two of those in common.  *Heavy sets* scan the inverted lists of their prefix instead, in
    which all sets are listed.  The boundary between light and heavy is the size with the least cost: pairs enumerated
@@ -150,8 +150,12 @@ def _whole_sets(docs: DataFrame, chosen: DataFrame, rules: JoinRules) -> DataFra
 
 
 def _half_pruning(whole: DataFrame, rules: JoinRules) -> DataFrame:
-    """Nodes of the whole sets that may link, by the first half of each set's shingles: as the first pruning, among fewer classes."""
-    half = whole.select("node", F.explode(F.slice("shingles", F.lit(1), F.ceil(F.size("shingles") / 2).cast("int"))).alias("shingle"))
+    """Nodes of the whole sets that may link, by the shingles in the lower half of all hashes: as the first pruning, among fewer classes.
+
+    The half is one of values, not of places in a set: a shingle that two sets share is in the halves of both, whatever their sizes, so
+    those of one's own there are never more than the whole set's.
+    """
+    half = whole.select("node", F.explode("shingles").alias("shingle")).where("shingle >= 0")
     alone = half.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
     own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     return whole.select("node", "n").join(own, "node", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), rules.percent)).select("node")

@@ -444,6 +444,21 @@ def test_join_equals_brute_force(spark, monkeypatch, cost):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(rows)
 
 
+def test_join_links_sets_of_different_size(spark):
+    rng = random.Random(12)
+    made = iter(["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(4000)])
+    texts = ["river fire green wind house tree night", "river fire green wind house tree night sea"]
+    for n in [7] * 20 + [8] * 10 + [11] * 10 + [15] * 10 + [16] * 10 + [19] * 10:
+        base = [next(made) for _ in range(n)]
+        more = [next(made) for _ in range((n - 4) // 3)]
+        texts += [" ".join(base), " ".join(base + more if rng.random() < 0.5 else more + base)]
+    rows = list(enumerate(texts))
+    want = brute_components(rows)
+    assert all(want[i][1] == i - i % 2 for i in want)  # every pair links
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
+
+
 def test_join_odd_rows(docs, empty):
     rows = [(i, t) for i, t, *_ in odd_rows()]
     want = brute_components([r for r in rows if r[0] is not None])
