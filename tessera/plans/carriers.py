@@ -116,20 +116,20 @@ def match_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.match_cascade(entities, panel, {"NATION_1": "NATION_2", "FRANCE": "GERMANY"}, {"3": "7", "200": "9", "201": "none"}).select("code", "level", "panel_idx")
 
 
-def _heads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace(F.substring("text", 1, 80), "ß", "ss").alias("name"))
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", "ß", "ss").alias("name"))
 
 
 def norm_n1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _heads(spark, sf_dir).select("doc_id", N.plain_name(F.col("name")).alias("norm"), N.match_name(F.col("name")).alias("loose"))
+    return _texts(spark, sf_dir).select("doc_id", N.plain_name(F.col("name")).alias("norm"), N.match_name(F.col("name")).alias("loose"))
 
 
 def norm_n3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _heads(spark, sf_dir).select("doc_id", N.accent_name(F.col("name")).alias("norm"))
+    return _texts(spark, sf_dir).select("doc_id", N.accent_name(F.col("name")).alias("norm"))
 
 
 def norm_n4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _heads(spark, sf_dir).select("doc_id", N.loose_name(F.col("name")).alias("norm"))
+    return _texts(spark, sf_dir).select("doc_id", N.loose_name(F.col("name")).alias("norm"))
 
 
 def pad_code(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +171,7 @@ def md_table_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").withColumn("header", F.when(F.col("turn") % 3 == 0, F.substring("text", 1, 40)))
+    c = table(spark, sf_dir, "conversations").withColumn("header", F.when(F.col("turn") % 3 == 0, F.col("text")))
     return ocr.carry_header(c, "conv_id", ["turn"], "header", "carried").select("conv_id", "turn", "carried")
 
 
