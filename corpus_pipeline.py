@@ -21,7 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each component of the Jaccard join."""
+    """One document of each component of the Jaccard join: that with the least id."""
     return jaccard.keep_one_of_each(docs)
 
 

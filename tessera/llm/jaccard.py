@@ -100,15 +100,16 @@ def _looked_at(n: int, rules: JoinRules) -> int:
 
 
 def classes(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
-    """doc_id, n (set size) and node (the class) of every row."""
+    """doc_id, digest (of the text), n (set size) and node (the class) of every row."""
     small_batches(docs.sparkSession)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(x.as_py(), rules.words) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, found), pa.int64()), pa.array(map(set_name, found), pa.int64())], names=["doc_id", "n", "node"])
+            found = [shingle_set(x.as_py(), rules.words) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, found), pa.int64()), pa.array(map(set_name, found), pa.int64())], names=["doc_id", "digest", "n", "node"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(sets, "doc_id long, n long, node long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text")).mapInArrow(sets, "doc_id long, digest long, n long, node long")
 
 
 def _first_pruning(docs: DataFrame, named: DataFrame, rules: JoinRules) -> DataFrame:
@@ -279,13 +280,18 @@ def linked_classes(docs: DataFrame, named: DataFrame, rules: JoinRules = JoinRul
         salts *= rules.pivots
 
 
-def jaccard_components(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row: the least doc_id reachable by links."""
+def _placed(docs: DataFrame, rules: JoinRules) -> DataFrame:
+    """doc_id, digest, n and component (its least class) of every row."""
     named = materialize(classes(docs, rules), "classes")
     labels = linked_classes(docs, named, rules)
     placed = named if labels is None else named.join(labels, "node", "left")
     label = F.col("node") if labels is None else F.coalesce("label", "node")
-    placed = placed.select("doc_id", "n", label.alias("component"))
+    return placed.select("doc_id", "digest", "n", label.alias("component"))
+
+
+def jaccard_components(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row: the least doc_id reachable by links."""
+    placed = _placed(docs, rules)
     linked = placed.where("n > 0")
     least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named_rows = linked.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -293,10 +299,18 @@ def jaccard_components(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataF
 
 
 def keep_one_of_each(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their component, columns unchanged; one row of those that share the id."""
-    chosen = jaccard_components(docs, rules).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_key")).distinct()
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
-    return keyed.join(chosen, "_key").dropDuplicates(["_key"]).select(*docs.columns)
+    """One row of ``docs`` of each component, columns unchanged: that of the least id (null ids last), then of the least digest of its text.
+
+    A row without words is its own component and stays, so rows go by component and never by id: different texts that share an id, or have
+    none, are all kept.  Rows of one component have the chosen id and digest only if their texts are the same; one of them is kept.
+    """
+    least = _placed(docs, rules).where("n > 0").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("x"))
+    chosen = least.select(F.coalesce("x.doc_id", F.lit(NULL_ID)).alias("_key"), F.col("x.none").alias("_none"), F.col("x.digest").alias("_digest"))
+    id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    wordless = ~F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    keyed = docs.where(~wordless).withColumns({"_key": F.coalesce(id_, F.lit(NULL_ID)), "_none": id_.isNull(), "_digest": F.xxhash64(text)})
+    keys = ["_key", "_none", "_digest"]
+    return keyed.join(chosen, keys).dropDuplicates(keys).select(*docs.columns).unionByName(docs.where(wordless))
 
 
 #: DuckDB: all links between distinct sets by counting common shingles, then least ids along the links.

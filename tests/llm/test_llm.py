@@ -467,3 +467,22 @@ def test_join_odd_rows(docs, empty):
     kept = jaccard.keep_one_of_each(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, (_, c) in want.items() if i == c)
     assert jaccard.jaccard_components(empty).count() == 0
+
+
+def test_one_row_of_each_component_is_kept(spark):
+    rng = random.Random(21)
+    text = [" ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(30)) for _ in range(8)]
+    near = text[0] + " tail"
+    rows = [
+        (None, text[0], "a"), (None, text[1], "a"), (None, text[2], "a"), (None, text[2], "a"), (None, near, "b"),  # ids of null, each text its own
+        (5, text[3], "a"), (5, text[4], "a"), (5, text[4] + " tail", "a"),  # an id of several texts
+        (7, text[5], "a"), (3, text[5] + " tail", "a"), (None, text[5], "a"), (9, text[5], "a"), (3, text[5] + " tail", "a"),
+        (jaccard.NULL_ID, text[6], "a"), (None, text[7], "a"),
+        (None, None, "a"), (None, "", "a"), (4, " \n", "a"), (4, "", "a"),
+    ]
+    got = [tuple(r) for r in jaccard.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)).collect()]
+    firsts = [r for r in got if r[1] in (text[0], near)]
+    fours = [r for r in got if r[1] in (text[4], text[4] + " tail")]
+    assert len(firsts) == 1 and len(fours) == 1
+    rest = [(None, text[1], "a"), (None, text[2], "a"), (5, text[3], "a"), (3, text[5] + " tail", "a"), (jaccard.NULL_ID, text[6], "a"), (None, text[7], "a"), *rows[-4:]]
+    assert sorted(map(str, got)) == sorted(map(str, rest + firsts + fours))
