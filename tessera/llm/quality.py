@@ -5,7 +5,7 @@ other words in one class).  The references are the summed histograms of all docu
 from the whole corpus, as one row of counts for each language and class.  A text is far from a language if
 the Jensen-Shannon distance (base 2, 0 to 1) of its characters or of its words exceeds its threshold; it is rejected if it is
 far from every reference.  A text without common words is only as far from a reference as that one's own share of common words puts it,
-and short texts scatter, so the word threshold goes by reference and length (``word_limits``).  Texts under ``min_words`` words or ``min_letters`` letters are too short to judge and pass the
+and short texts scatter, so the word threshold goes by reference and length (``word_limits``).  Texts under ``min_words`` words or ``min_chars`` characters (of any class) are too short to judge and pass the
 divergence rule, as does everything where no language has ``min_reference_words`` words.
 
 The base rules (too few words, too many repeated three-word windows) come first.
@@ -48,7 +48,7 @@ class QualityRules:
 
     min_words: int = 50
     repeat_percent: int = 50
-    min_letters: int = 200
+    min_chars: int = 200
     min_reference_words: int = 2000
     max_char_distance: float = 0.30
     max_word_distance: float = 0.60
@@ -236,7 +236,7 @@ def judge(features: DataFrame, references: dict[str, tuple[np.ndarray, np.ndarra
             failed = (n_words < rules.min_words) | (100 * repeats > rules.repeat_percent * n_words)
             chars = np.array([np.frombuffer(x, "<i8") for x in batch.column("char_hist").to_pylist()]).reshape(batch.num_rows, N_CHAR)
             common = np.array([np.frombuffer(x, "<u4") for x in batch.column("word_hist").to_pylist()]).reshape(batch.num_rows, N_WORD)
-            enough = (chars[:, [0, 1, 2, 3, 10, 11, 12]].sum(1) >= rules.min_letters) & (n_words >= rules.min_words)
+            enough = (chars.sum(1) >= rules.min_chars) & (n_words >= rules.min_words)
             if langs:
                 dc, dw = js_distances(chars, ref_chars), js_distances(common, ref_words)
                 far = ((dc > rules.max_char_distance) | far_words(dw, n_words, limits)).all(1) & enough
@@ -271,7 +271,7 @@ def keep_good(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFram
         base, chars, common = text_counts(text or "")
         if base[0] < rules.min_words or 100 * base[4] > rules.repeat_percent * base[0]:
             return False
-        if not langs or chars[[0, 1, 2, 3, 10, 11, 12]].sum() < rules.min_letters:
+        if not langs or chars.sum() < rules.min_chars:
             return True
         dc, dw = js_distances(chars[None].astype(float), ref_chars), js_distances(common[None].astype(float), ref_words)
         return bool(((dc <= rules.max_char_distance) & ~far_words(dw, np.array([base[0]]), limits)).any())

@@ -149,6 +149,17 @@ def test_texts_without_common_words_are_rejected(spark):
     assert {r["doc_id"] for r in quality.keep_good(docs).collect()} == {r["doc_id"] for r in got if r["kept"]}
 
 
+def test_long_texts_without_letters_are_judged(spark):
+    rng = random.Random(6)
+    clean, _ = common_texts()
+    odd = [" ".join(str(rng.randrange(10**6)) for _ in range(3000)), " ".join("".join(rng.choices("=+~^/@", k=5)) for _ in range(400)), " ".join(rng.choice("abcdefghij") for _ in range(90))]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(clean)] + [(1000 + i, t, None) for i, t in enumerate(odd)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality.quality_digests(docs).where("doc_id >= 1000").collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert [got[1000 + i]["kept"] for i in range(3)] == [False, False, True]  # the last is too short to judge
+    assert {r["doc_id"] for r in quality.keep_good(docs).where("doc_id >= 1000").collect()} == {1002}
+
+
 def test_words_do_not_judge_a_language_outside_the_list():
     reference = np.zeros((1, quality.N_WORD))
     reference[0, -1] = 5000
