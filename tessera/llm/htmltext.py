@@ -69,10 +69,10 @@ _MARKS = re.compile(r"[.!?,;:]")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "depth", "topics", "hidden", "children", "own_chars", "own_links", "marks", "controls", "at", "chars", "links", "sum_marks", "sum_controls", "paras", "nodes")
+    __slots__ = ("tag", "parent", "depth", "topics", "hidden", "children", "own_chars", "own_links", "marks", "controls", "at", "order", "chars", "links", "sum_marks", "sum_controls", "paras", "nodes")
 
-    def __init__(self, tag: str, parent: int, depth: int, topics: tuple, hidden: bool, at: int):
-        self.tag, self.parent, self.depth, self.topics, self.hidden, self.at = tag, parent, depth, topics, hidden, at
+    def __init__(self, tag: str, parent: int, depth: int, topics: tuple, hidden: bool, at: int, order: int = 0):
+        self.tag, self.parent, self.depth, self.topics, self.hidden, self.at, self.order = tag, parent, depth, topics, hidden, at, order
         self.children: list[int] = []
         self.own_chars = self.own_links = self.marks = self.controls = 0
 
@@ -179,7 +179,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
         if tag in BLOCKS:
             block += 1
             topics, hidden = _attributes(m[3]) if m[3] else (nodes[0].topics, False)
-            nodes.append(Node(tag, here, nodes[here].depth + 1, topics, hidden, chars))
+            nodes.append(Node(tag, here, nodes[here].depth + 1, topics, hidden, chars, len(nodes[here].children)))
             nodes[here].children.append(len(nodes) - 1)
             here = len(nodes) - 1
         links += tag == "a"
@@ -224,7 +224,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
             kind, *x.topics, sum(up_topics[1:]), up_topics[0], up_topics[4], up_topics[6],
             float(up_kinds >> 0 & 1), float(up_kinds >> 8 & 1), float(up_kinds >> 9 & 1), float(up_kinds >> 10 & 1), float(up_kinds >> 11 & 1), float(up_kinds >> 12 & 1),
             math.log1p(chars), x.links / max(chars, 1), x.sum_marks / max(chars, 1), math.log1p(chars / x.nodes), math.log1p(x.paras), chars / total, chars / parent_chars,
-            x.sum_controls, x.depth, place, n, (family.index(i) if n < 64 else 64) / n if i else 0.0, float(x.hidden or up_hidden), math.log1p(x.nodes), math.log1p(x.own_chars),
+            x.sum_controls, x.depth, place, n, x.order / n, float(x.hidden or up_hidden), math.log1p(x.nodes), math.log1p(x.own_chars),
         ])
     kinds = len(KINDS) + 1
     return [[float(r[0] == k) for k in range(kinds)] + r[1:] for r in rows]
@@ -396,7 +396,7 @@ def _make_page(rng: random.Random) -> str:
         return rng.choice([advert, share, side, form, notice])()
 
     title = rng.choice([f"<h1>{words(rng.choice([1, 2, 3, 6, 12]), True)}</h1>", f"<header><h1>{words(rng.randint(2, 9), True)}</h1></header>", f"<h2>{words(rng.randint(2, 9), True)}</h2>", ""])
-    inner = title + "".join(body_part() for _ in range(rng.choice([0, 1, 1, 2, 4, 8, 16])))
+    inner = title + "".join(body_part() for _ in range(rng.choice([0, 1, 1, 2, 4, 8, 16] * 3 + [100])))
     tag = rng.choice(["article"] * 4 + ["main", "div", "div", "div", "section"])
     good = attrs("content post entry article story text body article-body post-content main", 1 if tag in ("div", "section") and rng.random() < 0.8 else 0.3)
     inner = f"<{tag}{good}>{inner}" + ("" if rng.random() < 0.05 else f"</{tag}>")

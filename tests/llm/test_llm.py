@@ -242,6 +242,28 @@ def test_held_out_pages_and_consistency():
     assert good / (good + bad) > 0.97 and good / (good + missed) > 0.97
 
 
+def test_place_among_many_siblings():
+    for n in (3, 63, 64, 200):
+        nodes, _ = htmltext.parse("<html><body><article>" + "<p>some words here.</p>" * n + "</article></body></html>")
+        rows = np.array(htmltext.features(nodes))
+        own = [i for i, x in enumerate(nodes) if x.tag == "p"]
+        column = rows.shape[1] - 4
+        assert len(own) == n and rows[own, column].tolist() == [k / n for k in range(n)]
+
+
+def test_long_articles_are_whole():
+    trees, rng = htmltext.model(), random.Random(41)
+    good = bad = missed = 0
+    for n in (64, 100, 184, 300) * 5:
+        said = lambda k, good: " ".join("".join(rng.choices("abdeghilmnoprstu", k=5)) + ("ñ" if good else "") for _ in range(k)) + "."
+        page = f"<html><body><nav><ul><li><a href=/>{said(1, False)}</a></li><li><a href=/a>{said(2, False)}</a></li></ul></nav><article><h1>{said(4, True)}</h1>" + "".join(f"<p>{said(rng.randint(3, 60), True)}</p>" for _ in range(n)) + f"</article><footer>&copy; {said(9, False)}</footer></body></html>"
+        got = htmltext.extract_pages([page], trees)[0].split()
+        good += sum("ñ" in w for w in got)
+        bad += sum("ñ" not in w for w in got)
+        missed += page.count("ñ") - sum("ñ" in w for w in got)
+    assert good / (good + bad) > 0.99 and good / (good + missed) > 0.99
+
+
 def test_broken_pages():
     trees = htmltext.model()
     for page in ("<", "<p", "<!--", "<a href='", "</div></p>", "<table><tr><td>x", "<p>a<p>b<li>c", "<script>", "<style>a", "<b><i>x</b>y</i>", "<div " * 50, "&#x110000; &bogus;"):
