@@ -63,7 +63,7 @@ for _i, _line in enumerate(TOPICS):
         TOPIC_OF.setdefault(_w, _i)
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>|</?[a-zA-Z][^>]*>""", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|aria-label|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _MARKS = re.compile(r"[.!?,;:]")
 
@@ -84,7 +84,7 @@ def _attributes(raw: str) -> tuple[tuple, bool]:
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             hidden = True
-        elif name not in ("style", "aria-hidden"):
+        elif name in ("class", "id", "role", "aria-label"):
             for token in _TOKEN.findall(value):
                 topic = TOPIC_OF.get(token.lower())
                 if topic is not None:

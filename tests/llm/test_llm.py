@@ -264,6 +264,15 @@ def test_long_articles_are_whole():
     assert good / (good + bad) > 0.99 and good / (good + missed) > 0.99
 
 
+def test_hidden_is_an_attribute_of_its_own():
+    shown = ('title="The hidden cost"', 'data-title="Hidden gems"', 'data-hidden="false"', "data-x='a hidden b'", 'data-style="display:none"', "href=/hidden", 'title="id=nav class=ad"')
+    gone = ("hidden", 'class="a" hidden', 'HIDDEN=""', 'aria-hidden="true"', "aria-hidden=true id=x", 'style="color:red; display: none"', "hidden/")
+    assert not any(htmltext._attributes(f" {raw}")[1] for raw in shown) and all(htmltext._attributes(f" {raw}")[1] for raw in gone)
+    assert not any(sum(htmltext._attributes(f" {raw}")[0]) for raw in shown)
+    body = "<p>First paragraph of the article, long enough to matter.</p>" * 3
+    assert htmltext.extract_pages([f'<html><body><article title="The hidden cost">{body}</article></body></html>'], htmltext.model())[0].count("First paragraph") == 3
+
+
 def test_broken_pages():
     trees = htmltext.model()
     for page in ("<", "<p", "<!--", "<a href='", "</div></p>", "<table><tr><td>x", "<p>a<p>b<li>c", "<script>", "<style>a", "<b><i>x</b>y</i>", "<div " * 50, "&#x110000; &bogus;"):
