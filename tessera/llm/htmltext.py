@@ -443,9 +443,9 @@ def extract_pages(pages: list[str | None], trees: BoostedTrees) -> list[str]:
     return out
 
 
-def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text", trees: BoostedTrees | None = None, batch: int = 200) -> DataFrame:
+def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text", trees: BoostedTrees | None = None) -> DataFrame:
     """``pages`` without ``html_col`` and with ``out_col``, the main text; a column of that name is replaced."""
-    small_batches(pages.sparkSession, batch)
+    small_batches(pages.sparkSession)
     trees = trees or model()
     keep = [c for c in pages.columns if c not in (html_col, out_col)]
     chosen = pages.select(*keep, F.col(html_col).cast("string").alias(html_col))

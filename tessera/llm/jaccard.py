@@ -10,10 +10,13 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
    prefix filter needs: two linked sets have two of those in common.  *Heavy sets* scan the inverted lists of their prefix instead, in
    which all sets are listed.  The boundary between light and heavy is the size with the least cost: pairs enumerated
    below, list entries scanned above (pivots make a list cost its length, not its square).
-3. *Groups* of classes with one subset or one list are not expanded into pairs; groups of the same members count once.  In each round pivots of each group (one at first,
-   then ``pivots`` times as many each time) are compared, with whole sets, with the members of like size that are not in the pivot's
-   component yet; then the pivots leave.  Groups end when all their members are in one component, so no link between
-   components is lost, and a large group of near copies takes one pivot.
+3. *Groups* of classes with one subset or one list are not expanded into pairs; groups of the same members count once.  A pair need only be met in
+   the first subset (or list) that both have; if that is at place i of a set of n, at most n - i shingles are shared (one more for a pair of
+   shingles), so pairs whose sizes and places leave less than the threshold needs are never made.  In a round, each group's pivot
+   (``pivots`` times as many in each further round) is compared, with whole sets, with the members that are not in its component
+   yet; then the pivots leave.  Large groups of near copies become one component in the first round.  As soon as the pairs of members of different components
+   are no more than ``rest`` for each member, they are compared directly; groups end when all their members are in one component.  So no
+   link between components is lost.
 
 Nothing is capped and no group is gathered in one task: groups are aggregated before the shuffle and joined by sort-merge joins that Spark
 can split.
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches
+from .common import free_names, materialize, release, small_batches
 
 NULL_ID = -(1 << 63)
 
@@ -43,12 +46,13 @@ SCAN_COST = 4.0
 
 @dataclass(frozen=True)
 class JoinRules:
-    """Production parameters: words a shingle, threshold in hundredths, slack of the first pruning, growth of the pivots."""
+    """Production parameters: words a shingle, threshold in hundredths, slack of the first pruning, growth of the pivots, pairs a member for the last round."""
 
     words: int = 5
     percent: int = 75
     slack: float = 0.04
     pivots: int = 16
+    rest: float = 2.0
 
 
 _ODD = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1) for k in range(64)]
@@ -113,7 +117,7 @@ def classes(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
 
 
 def _first_pruning(docs: DataFrame, named: DataFrame, rules: JoinRules) -> DataFrame:
-    """node, n and key (an id of one of its documents) of the classes that may link."""
+    """node, n and row (id and digest of one of its documents) of the classes that may link."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,21 +132,22 @@ def _first_pruning(docs: DataFrame, named: DataFrame, rules: JoinRules) -> DataF
     listed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(prefixes, "shingle long, node long")
     alone = listed.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
     own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    one = named.where("n > 1").groupBy("node").agg(F.first("n").alias("n"), F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("key"))
-    return one.join(own, "node", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), rules.percent)).select("node", "n", "key")
+    one = named.where("n > 1").groupBy("node").agg(F.first("n").alias("n"), F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "digest")).alias("row"))
+    return one.join(own, "node", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), rules.percent)).select("node", "n", "row.id", "row.digest")
 
 
 def _whole_sets(docs: DataFrame, chosen: DataFrame, rules: JoinRules) -> DataFrame:
     """node, n and shingles of the chosen classes."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("key"), F.col("text").cast("string").alias("text"))
-    joined = texts.join(chosen.select("key", "node"), "key").select("node", "text")
+    text = F.col("text").cast("string")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
+    joined = texts.join(chosen.select("id", "digest", "node"), ["id", "digest"]).select("node", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, found = [], []
             for node, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 made = shingle_set(x.as_py(), rules.words)
-                if set_name(made) == node:  # another row may have the same id
+                if set_name(made) == node:  # another text may have the same digest
                     nodes.append(node)
                     found.append(made.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(map(len, found), pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "n", "shingles"])
@@ -184,27 +189,72 @@ def _boundary(ranked: DataFrame) -> int:
 
 
 def _groups(ranked: DataFrame, limit: int) -> DataFrame:
-    """key, node and heavy: the subsets of light sets, and the lists that heavy sets scan with everyone listed."""
-    heavy = F.col("n") > limit
-    pairs = F.flatten(F.transform("longer", lambda x, i: F.transform(F.slice("longer", i + 2, F.size("longer")), lambda y: F.xxhash64(F.lit("pair"), x["shingle"], y["shingle"]))))
-    light = ranked.where(~heavy).select(F.explode(pairs).alias("key"), "node", "n", F.lit(False).alias("heavy"))
-    lists = ranked.select(F.explode(F.transform("prefix", lambda x: F.xxhash64(F.lit("list"), x["shingle"]))).alias("key"), "node", "n", heavy.alias("heavy"))
+    """key, node, n, own, left, heavy and listed: the subsets of light sets, and the lists that heavy sets scan with everyone listed.
+
+    ``left`` is the most shingles that the set can share with one that has no earlier subset (or list) in common with it.
+    """
+    heavy, after = F.col("n") > limit, F.col("n") - F.col("own")
+    base = ["node", "n", "own"]
+    second = lambda x, i: F.transform(F.slice("longer", i + 2, F.size("longer")), lambda y, k: F.struct(F.xxhash64(F.lit("pair"), x, y).alias("key"), (after - i - k).alias("left")))
+    light = ranked.where(~heavy).select(F.explode(F.flatten(F.transform("longer", second))).alias("e"), *base, F.lit(False).alias("heavy"))
+    lists = ranked.select(F.explode(F.transform("prefix", lambda x, i: F.struct(F.xxhash64(F.lit("list"), x).alias("key"), (after - i).alias("left")))).alias("e"), *base, heavy.alias("heavy"))
+    light, lists = (x.select("e.key", *base, F.col("e.left").cast("long").alias("left"), "heavy") for x in (light, lists))
     scanned = lists.groupBy("key").agg(F.max("heavy").alias("any_heavy"), F.count(F.lit(1)).alias("m")).where("any_heavy and m > 1").select("key")
     shared = light.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
     return light.join(shared, "key").withColumn("listed", F.lit(False)).unionByName(lists.join(scanned, "key").withColumn("listed", F.lit(True)))
 
 
 def _distinct_groups(groups: DataFrame) -> DataFrame:
-    """One group of those with the same members: shingles of a passage that the same sets share make the same pairs.
+    """One group of those with the same members, the first one, which leaves most: shingles of a passage that the same sets share make the same pairs.
 
     Groups are told apart by their kind, number of members and two 64-bit digests of the members.
     """
     marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in range(2)]
-    seen = groups.groupBy("key", "listed").agg(F.count(F.lit(1)).alias("m"), *marks)
-    kept = seen.groupBy("listed", "m", "x0", "x1").agg(F.min("key").alias("key")).select("key", "listed")
+    seen = groups.groupBy("key", "listed").agg(F.count(F.lit(1)).alias("m"), F.sum("left").alias("total"), *marks)
+    kept = seen.groupBy("listed", "m", "x0", "x1").agg(F.max(F.struct("total", "key")).alias("first")).select("first.key", "listed")
     return groups.join(kept, ["key", "listed"], "left_semi")
 
 
+def _may_link(left: Column, sizes: Column, percent: int) -> Column:
+    """Whether ``left`` shared shingles of sets of ``sizes`` in all reach the threshold."""
+    return F.lit(100 + percent) * left >= F.lit(percent) * sizes
+
+
+def _with_labels(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return groups.withColumn("label", F.col("node"))
+    return groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _open_groups(groups: DataFrame, labels: DataFrame | None, rules: JoinRules) -> DataFrame:
+    """The members, with labels, that may still link to a member of another component in their group."""
+    held = materialize(_with_labels(groups, labels), "members")
+    least = [F.min("n").alias("n0"), F.max("left").alias("left1"), F.min("label").alias("l0"), F.max("label").alias("l1"), F.max("heavy").alias("any_heavy")]
+    alive = held.groupBy("key").agg(*least).where("l0 <> l1")
+    near = held.join(alive.select("key", "n0", "left1", "any_heavy"), "key")
+    open_ = near.where(_may_link(F.least("left", "left1"), F.col("n") + F.col("n0"), rules.percent) & (~F.col("listed") | F.col("any_heavy"))).select(*held.columns)
+    out = materialize(open_, "held")
+    release(held)
+    return out
+
+
+def _rest(held: DataFrame) -> tuple[int, int]:
+    """Members, and pairs of members of different components in a group, of all groups."""
+    sizes = held.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m").cast("double") * F.col("m")).alias("same"))
+    row = sizes.agg(F.sum("m").alias("members"), F.sum((F.col("m").cast("double") * F.col("m") - F.col("same")) / 2).alias("pairs")).first()
+    return row["members"] or 0, row["pairs"] or 0
+
+
+def _pairs(held: DataFrame, others: DataFrame, rules: JoinRules, once: bool) -> DataFrame:
+    """Distinct (a, b) of members of ``held`` and ``others`` of a group that may link and are of different components."""
+    names = ["node", "n", "left", "heavy", "label"]
+    two = others.select("key", *[F.col(c).alias(f"o_{c}") for c in names])
+    meet = _may_link(F.least("left", "o_left"), F.col("n") + F.col("o_n"), rules.percent) & (F.col("label") != F.col("o_label")) & (~F.col("listed") | F.col("heavy") | F.col("o_heavy"))
+    if once:
+        meet &= F.col("node") < F.col("o_node")
+    return held.join(two.hint("merge"), "key").where(meet).select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, whole: DataFrame, rules: JoinRules) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
     one = whole.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -217,76 +267,104 @@ def _verified(pairs: DataFrame, whole: DataFrame, rules: JoinRules) -> DataFrame
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of the links; label is the least node of its component.  By least neighbours and pointer jumps."""
     edges = materialize(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label"))
+    first = labels = materialize(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels")
     while True:
         near = edges.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         least = labels.join(near, "node").select("node", F.least("label", "near").alias("to"), F.col("label").alias("was"))
         jumped = least.join(labels.select(F.col("node").alias("to"), F.col("label").alias("far")), "to", "left")
         nearer = materialize(jumped.select("node", F.least("to", F.coalesce("far", "to")).alias("label"), "was"), "labels")
-        labels = nearer.select("node", "label")
+        release(first)
+        first, labels = nearer, nearer.select("node", "label")
         if not nearer.where("label <> was").limit(1).count():
-            return labels
+            release(edges)
+            return nearer
 
 
 def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Labels after further links: components of the links between the old labels, then the nodes' new ones."""
     if labels is None:
         return components(links)
+    labels = labels.select("node", "label")
     for side in ("a", "b"):
         links = links.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}")), side, "left").withColumn(f"l{side}", F.coalesce(f"l{side}", side))
     joined = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")))
-    moved = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-    fresh = joined.join(labels.select("node"), "node", "left_anti").select("node", "label")
-    return materialize(moved.unionByName(fresh), "labels")
+    to = joined.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    moved = labels.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    fresh = joined.join(labels, "node", "left_anti").select("node", "label")
+    made = materialize(moved.unionByName(fresh), "labels")
+    release(joined)
+    return made
 
 
-def linked_classes(docs: DataFrame, named: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame | None:
-    """(node, label) of all classes that link to another, or None if none does."""
+def _compared_sets(docs: DataFrame, named: DataFrame, rules: JoinRules) -> tuple[DataFrame, DataFrame]:
+    """Whole sets (node, n, shingles) that may link, and their prefixes (node, n, own, prefix, longer)."""
     chosen = materialize(_first_pruning(docs, named, rules), "chosen")
     whole = materialize(_whole_sets(docs, chosen, rules), "sets")
-    whole = materialize(whole.join(materialize(_half_pruning(whole, rules), "halves"), "node", "left_semi"), "kept")
-    spare = _spare(F.col("n"), rules.percent)
-    ranked = _ranked_sets(whole, rules)
+    halves = materialize(_half_pruning(whole, rules), "halves")
+    kept = materialize(whole.join(halves, "node", "left_semi"), "kept")
+    release(chosen, whole, halves)
+    ranked = _ranked_sets(kept, rules)
     # Shingles of one's own come first in the order, so they take up the prefix's first places.
-    ranked = ranked.withColumn("prefix", F.slice("shared", F.lit(1), F.greatest(F.lit(0), spare + 1 - F.col("own")).cast("int")))
-    ranked = ranked.withColumn("longer", F.slice("shared", F.lit(1), F.greatest(F.lit(0), spare + 2 - F.col("own")).cast("int")))
-    ranked = materialize(ranked.select("node", "n", "prefix", "longer"), "prefixes")
-    # Each round compares whole sets, so those that are in no group any more must not be moved again.
-    whole = materialize(whole.join(ranked.select("node"), "node", "left_semi"), "compared")
-    groups = _distinct_groups(materialize(_groups(ranked, _boundary(ranked)), "lists"))
-    tested = labels = None
+    room = _spare(F.col("n"), rules.percent) - F.col("own")
+    for name, more in (("prefix", 1), ("longer", 2)):
+        ranked = ranked.withColumn(name, F.transform(F.slice("shared", F.lit(1), F.greatest(F.lit(0), room + more).cast("int")), lambda x: x["shingle"]))
+    ranked = materialize(ranked.select("node", "n", "own", "prefix", "longer"), "prefixes")
+    # Each round compares whole sets, so those that are in no group must not be moved again.
+    compared = materialize(kept.join(ranked.select("node"), "node", "left_semi"), "compared")
+    release(kept)
+    return compared, ranked
+
+
+def linked_classes(docs: DataFrame, named: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame | None:
+    """(node, label) of all classes that link to another, or None if none does."""
+    whole, ranked = _compared_sets(docs, named, rules)
+    lists = materialize(_groups(ranked, _boundary(ranked)), "lists")
+    groups = materialize(_distinct_groups(lists), "groups")
+    release(ranked, lists)
+    used, tested, labels = [groups], None, None
     salts = 1
     while True:
-        held = groups.withColumn("label", F.col("node")) if labels is None else groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        held = materialize(held, "members")
-        alive = held.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.max("heavy").alias("h"), F.max("listed").alias("t")).where("l1 <> l2 and (h or not t)").select("key")
-        held = materialize(held.join(alive, "key"), "held")
-        if not held.limit(1).count():
-            return labels
-        # One pivot of each group at first, then one for each salt, of which there are more in each round; in lists, heavy sets first.
-        salt = F.lit(0) if salts == 1 else F.pmod(F.xxhash64("node", F.lit(salts)), F.lit(salts))
-        pivots = held.groupBy("key", salt.alias("salt")).agg(F.min(F.struct((~F.col("heavy")).alias("light"), "node", "label", "n")).alias("p")).select("key", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"), (~F.col("p.light")).alias("pivot_heavy"), F.col("p.n").alias("pivot_n"))
-        alike = F.lit(100) * F.least("n", "pivot_n") >= F.lit(rules.percent) * F.greatest("n", "pivot_n")
-        pairs = held.join(pivots, "key").where((F.col("label") != F.col("pivot_label")) & (~F.col("listed") | F.col("heavy") | F.col("pivot_heavy")) & alike)
-        pairs = pairs.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+        held = _open_groups(groups, labels, rules)
+        used.append(held)
+        members, rest = _rest(held)
+        if not members:
+            break
+        last = salts > 1 and rest <= rules.rest * members
+        pivots = held
+        if not last:
+            # One pivot of each group at first, then one for each salt, of which there are more in each round; in lists heavy sets first, then those with the least of their own.
+            salt = F.lit(0) if salts == 1 else F.pmod(F.xxhash64("node", F.lit(salts)), F.lit(salts))
+            first = F.struct((~F.col("heavy")).alias("light"), (F.col("own") / F.col("n")).alias("part"), "node", "label", "n", "left", "heavy")
+            pivots = held.groupBy("key", salt.alias("salt")).agg(F.min(first).alias("p")).select("key", *[F.col(f"p.{c}").alias(c) for c in ("node", "label", "n", "left", "heavy")])
+            pivots = materialize(pivots, "pivots")
+            used.append(pivots)
+        pairs = _pairs(held, pivots, rules, last)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
+        used.append(pairs)
         tested = pairs if tested is None else tested.union(pairs)
         found = materialize(_verified(pairs, whole, rules), "links")
+        used.append(found)
         if found.limit(1).count():
-            labels = _relabelled(labels, found)
-        groups = held.drop("label").join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
+            known, labels = labels, _relabelled(labels, found)
+            release(known)
+        if last:
+            break
+        groups = held.drop("label").join(pivots.select("key", "node"), ["key", "node"], "left_anti")
         salts *= rules.pivots
+    release(whole, *used)
+    return labels
 
 
 def _placed(docs: DataFrame, rules: JoinRules) -> DataFrame:
     """doc_id, digest, n and component (its least class) of every row."""
     named = materialize(classes(docs, rules), "classes")
     labels = linked_classes(docs, named, rules)
-    placed = named if labels is None else named.join(labels, "node", "left")
-    label = F.col("node") if labels is None else F.coalesce("label", "node")
-    return placed.select("doc_id", "digest", "n", label.alias("component"))
+    if labels is None:
+        return named.select("doc_id", "digest", "n", F.col("node").alias("component"))
+    placed = named.join(labels.select("node", "label"), "node", "left")
+    return placed.select("doc_id", "digest", "n", F.coalesce("label", "node").alias("component"))
 
 
 def jaccard_components(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
@@ -304,12 +382,12 @@ def keep_one_of_each(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFra
     A row without words is its own component and stays, so rows go by component and never by id: different texts that share an id, or have
     none, are all kept.  Rows of one component have the chosen id and digest only if their texts are the same; one of them is kept.
     """
+    key, none, digest = keys = free_names(docs.columns, "_key", "_none", "_digest")
     least = _placed(docs, rules).where("n > 0").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("x"))
-    chosen = least.select(F.coalesce("x.doc_id", F.lit(NULL_ID)).alias("_key"), F.col("x.none").alias("_none"), F.col("x.digest").alias("_digest"))
+    chosen = least.select(F.coalesce("x.doc_id", F.lit(NULL_ID)).alias(key), F.col("x.none").alias(none), F.col("x.digest").alias(digest))
     id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     wordless = ~F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    keyed = docs.where(~wordless).withColumns({"_key": F.coalesce(id_, F.lit(NULL_ID)), "_none": id_.isNull(), "_digest": F.xxhash64(text)})
-    keys = ["_key", "_none", "_digest"]
+    keyed = docs.where(~wordless).withColumns({key: F.coalesce(id_, F.lit(NULL_ID)), none: id_.isNull(), digest: F.xxhash64(text)})
     return keyed.join(chosen, keys).dropDuplicates(keys).select(*docs.columns).unionByName(docs.where(wordless))
 
 

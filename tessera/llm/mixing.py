@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered
+from .common import free_names, numbered
 
 PERIOD, BLOCK_ROWS, ALPHA, SPREAD = 1000, 32, 0.5, 256
 
@@ -85,28 +85,36 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, block_
 
     Columns of those names are replaced.  ``spread`` cuts each source, for the numbering of its rows, into so many sub-groups.
     """
-    docs = docs.drop("mix_block", "mix_slot", "mix_release", "mix_due", "mix_row", "_hash", "_sub", "_rank")
+    made = ["mix_block", "mix_slot", "mix_release", "mix_due", "mix_row"]
+    docs = docs.drop(*made)
+    names = free_names([*docs.columns, *made], "_hash", "_sub", "_rank", "_turn", "_s", "_share", "_period", "_s2", "_share2", "_period2", "_turn2", "_offset")
+    hash_, sub, rank, turn, s1, share1, period1, s2, share2, period2, turn2, offset = names
     # Bounded: one row for each slot of one period.
-    slots = F.broadcast(period_slots(source_shares(docs, weights, period, alpha, source_col)).select(F.col("source").alias("_s"), F.col("share").alias("_share"), F.col("period").alias("_period"), F.col("turn").alias("_turn"), F.col("offset").alias("_offset")))
-    hashed = docs.withColumn("_hash", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary")))
-    hashed = hashed.withColumn("_sub", F.pmod(F.conv(F.substring("_hash", 1, 6), 16, 10).cast("long"), F.lit(spread)))
+    slots = F.broadcast(period_slots(source_shares(docs, weights, period, alpha, source_col)).select(F.col("source").alias(s2), F.col("share").alias(share2), F.col("period").alias(period2), F.col("turn").alias(turn2), F.col("offset").alias(offset)))
+    hashed = docs.withColumn(hash_, F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary")))
+    hashed = hashed.withColumn(sub, F.pmod(F.conv(F.substring(hash_, 1, 6), 16, 10).cast("long"), F.lit(spread)))
     ties = [f.name for f in docs.schema.fields if f.name != source_col and f.dataType.typeName() in ("string", "long", "integer", "double", "boolean", "date", "timestamp")]
-    ranked = numbered(hashed, [source_col], "_sub", ["_hash", *ties], "_rank")
-    ranked = ranked.withColumn("mix_block", F.floor(F.col("_rank") / block_rows).cast("long")).withColumn("mix_row", F.pmod("_rank", F.lit(block_rows)).cast("int"))
+    ranked = numbered(hashed, source_col, sub, [hash_, *ties], rank)
+    ranked = ranked.withColumn("mix_block", F.floor(F.col(rank) / block_rows).cast("long")).withColumn("mix_row", F.pmod(rank, F.lit(block_rows)).cast("int"))
     # One row of shares a source, then the slot of the turn: two broadcasts of at most one period.
-    share = slots.where("_turn = 0").select(F.col("_s").alias("_s2"), F.col("_share").alias("_share2"), F.col("_period").alias("_period2"))
-    ranked = ranked.join(F.broadcast(share), F.col(source_col).eqNullSafe(F.col("_s2")), "left")
-    ranked = ranked.withColumn("_turn_of", F.pmod("mix_block", F.col("_share2")).cast("int"))
-    placed = ranked.join(slots, F.col(source_col).eqNullSafe(F.col("_s")) & (F.col("_turn_of") == F.col("_turn")), "left")
-    placed = placed.withColumn("mix_slot", (F.floor(F.col("mix_block") / F.col("_share2")) * F.col("_period2") + F.col("_offset")).cast("long"))
-    placed = placed.withColumn("mix_release", F.floor(F.col("mix_block") * F.col("_period2") / F.col("_share2")).cast("long"))
-    placed = placed.withColumn("mix_due", F.floor(((F.col("mix_block") + 1) * F.col("_period2") + F.col("_share2") - 1) / F.col("_share2")).cast("long"))
-    return placed.select(*docs.columns, "mix_block", "mix_slot", "mix_release", "mix_due", "mix_row")
+    share = slots.where(F.col(turn2) == 0).select(F.col(s2).alias(s1), F.col(share2).alias(share1), F.col(period2).alias(period1))
+    ranked = ranked.join(F.broadcast(share), F.col(source_col).eqNullSafe(F.col(s1)), "left")
+    ranked = ranked.withColumn(turn, F.pmod("mix_block", F.col(share1)).cast("int"))
+    placed = ranked.join(slots, F.col(source_col).eqNullSafe(F.col(s2)) & (F.col(turn) == F.col(turn2)), "left")
+    placed = placed.withColumn("mix_slot", (F.floor(F.col("mix_block") / F.col(share1)) * F.col(period1) + F.col(offset)).cast("long"))
+    placed = placed.withColumn("mix_release", F.floor(F.col("mix_block") * F.col(period1) / F.col(share1)).cast("long"))
+    placed = placed.withColumn("mix_due", F.floor(((F.col("mix_block") + 1) * F.col(period1) + F.col(share1) - 1) / F.col(share1)).cast("long"))
+    return placed.select(*docs.columns, *made)
 
 
 def mixed_order(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` with its own columns only, globally sorted into the mix (range partitions, so by many tasks)."""
-    return mix_sources(docs, **options).orderBy("mix_slot", "mix_row").select(*docs.columns)
+    """The rows of ``docs`` with its own columns only, globally sorted into the mix (range partitions, so by many tasks).
+
+    Texts move twice: to be numbered within their source and to their range of the mix.
+    """
+    renamed = dict(zip(docs.columns, free_names(["mix_block", "mix_slot", "mix_release", "mix_due", "mix_row"], *docs.columns), strict=True))
+    mixed = mix_sources(docs.withColumnsRenamed(renamed), **options).orderBy("mix_slot", "mix_row")
+    return mixed.select(*[F.col(new).alias(old) for old, new in renamed.items()])
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:

@@ -160,7 +160,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, longest: int =
     cut = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f.name) for c, f in zip(rank, ranks, strict=True)]).mapInArrow(pieces, schema), "pieces")
     order = [*[f.name for f in ranks[1:]], "doc_id", "start", "ids_crc32", "doc_tokens"]
     cut = cut.withColumn("_sub", F.col("_rank0") if ranks else F.pmod(F.xxhash64("doc_id", "start"), F.lit(spread)).cast("int"))
-    inside = numbered(cut, ["length"], "_sub", order, "_in_bucket")
+    inside = numbered(cut, "length", "_sub", order, "_in_bucket")
     # Bounded: one row for each power of two up to ``longest``.
     from pyspark.sql import Window
 

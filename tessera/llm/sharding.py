@@ -93,7 +93,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS, spread: int = 256) -> DataFra
         F.pmod(F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(spread)).alias("_sub"),
     )
     rows = materialize(rows, "shards")
-    placed = numbered(rows, ["shard"], "_sub", ["doc_id", "text_crc32", "size"], "slot")
+    placed = numbered(rows, "shard", "_sub", ["doc_id", "text_crc32", "size"], "slot")
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
