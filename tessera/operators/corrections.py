@@ -41,6 +41,13 @@ def rename_chains(corrections: DataFrame) -> DataFrame:
     return corrections.where("new_name is not null and new_name <> name").join(again, ["file", "new_name"], "left_semi").select("file", "name", "new_name")
 
 
+def correction_counts(before: DataFrame, after: DataFrame, status: str = "match_status") -> DataFrame:
+    """(status, n_before, n_after) of each status (null is one) before and after a run of corrections."""
+    sides = [side.groupBy(F.col(status).alias("status")).agg(F.count(F.lit(1)).alias(n)) for side, n in ((before, "n_before"), (after, "n_after"))]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    return both.groupBy("status").agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in ("n_before", "n_after")])
+
+
 def refresh_status(old: DataFrame, new: DataFrame, key: str, columns: list[str], status: str = "match_status") -> DataFrame:
     """The old row, with ``columns`` and the status from the new one only where the status differs."""
     fresh = new.select(key, F.col(status).alias("_s"), *[F.col(c).alias(f"_{c}") for c in columns])

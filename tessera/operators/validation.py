@@ -115,6 +115,25 @@ def schema_fields(keys: Column) -> Column:
     return F.when(F.array_contains(keys, "complesso_esercizi"), F.array(*map(F.lit, NEW_FIELDS))).otherwise(F.array(*map(F.lit, OLD_FIELDS)))
 
 
+def all_fields(row: str = "row") -> Column:
+    """The fields of new and of legacy documents in one struct of whole numbers, null where a document lacks one."""
+    return F.struct(*[F.try_variant_get(row, f"$.{f}", "string").try_cast("double").cast("long").alias(f) for f in dict.fromkeys(NEW_FIELDS + OLD_FIELDS)])
+
+
+def field_accuracy(links: DataFrame, checks: DataFrame, unmatched_left: DataFrame, unmatched_right: DataFrame, match_type: str = "match_type", equal: str = "equal") -> DataFrame:
+    """One row with n_exact, n_fuzzy, n_unmatched_left, n_unmatched_right, total_checks, total_correct and accuracy (percent; null without checks).
+
+    ``checks`` has a row for each field of a link that could be compared; a null ``equal`` counts as not equal.
+    """
+    kinds = links.agg(F.count_if(F.col(match_type) == "exact").alias("n_exact"), F.count_if(F.col(match_type) == "fuzzy").alias("n_fuzzy"))
+    compared = checks.agg(F.count(F.lit(1)).alias("total_checks"), F.count_if(F.col(equal)).alias("total_correct"))
+    sides = [side.agg(F.count(F.lit(1)).alias(name)) for side, name in ((unmatched_left, "n_unmatched_left"), (unmatched_right, "n_unmatched_right"))]
+    out = kinds
+    for one_row in [*sides, compared]:  # one row each
+        out = out.crossJoin(one_row)
+    return out.withColumn("accuracy", F.round(100 * F.try_divide("total_correct", "total_checks"), 1))
+
+
 def with_value_status(rows: DataFrame, extracted: str, reference: str, tolerance: float = 0.10) -> DataFrame:
     """N9 as ``value_status``, and ``exact_equal``."""
     return rows.withColumn("value_status", compare_values(F.col(extracted), F.col(reference), tolerance)).withColumn("exact_equal", F.coalesce(F.col(extracted) == F.col(reference), F.lit(False)))
@@ -135,11 +154,17 @@ def review_gate(rates: DataFrame, below: float = REVIEW_BELOW, error: str | None
 
 def review_manifest(rows: DataFrame, gate: DataFrame, key: str, item: list[str], flagged: Column, order: str, top: int | None = None) -> DataFrame:
     """Each gated key with its flagged rows as an array (its first ``top`` and how many more)."""
-    held = rows.where(flagged).groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, *[c for c in item if c != order]))).alias("mismatches"))
+    fields = [order, *[c for c in item if c != order]]
+    found = rows.where(flagged)
+    if top is not None:
+        ranked = found.withColumn("_place", F.row_number().over(Window.partitionBy(key).orderBy(*fields)))
+        counts = found.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        found = ranked.where(F.col("_place") <= top)
+    held = found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("mismatches"))
     out = gate.join(held, key, "left").withColumn("mismatches", F.coalesce("mismatches", F.array().cast(held.schema["mismatches"].dataType)))
     if top is None:
         return out
-    return out.withColumn("n_more", F.greatest(F.size("mismatches") - top, F.lit(0))).withColumn("mismatches", F.slice("mismatches", 1, top))
+    return out.join(counts, key, "left").withColumn("n_more", F.greatest(F.coalesce("_n", F.lit(0)).cast("int") - top, F.lit(0))).select(*out.columns, "n_more")
 
 
 def status_counts(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -140,10 +140,10 @@ a AS (
 SELECT code, CASE WHEN exact_idx IS NOT NULL THEN 'exact' WHEN near_idx IS NOT NULL THEN 'fuzzy' WHEN manual_idx IS NOT NULL THEN 'manual' WHEN unique_idx IS NOT NULL THEN 'name_only' ELSE 'unmatched' END AS level,
   coalesce(exact_idx, near_idx, manual_idx, unique_idx) AS panel_idx FROM a""",
     "norm_n1": f"""
-SELECT doc_id, {PLAIN.format("substr(text, 1, 80)")} AS norm, trim(regexp_replace(replace(replace({PLAIN.format("substr(text, 1, 80)")}, chr(39), ''), '-', ' '), '\\s+', ' ', 'g')) AS loose FROM documents""",
-    "norm_n4": f"SELECT doc_id, regexp_replace({PLAIN.format('substr(text, 1, 80)')}, '[^\\p{{L}}\\p{{N}}_\\s'']', '', 'g') AS norm FROM documents",
+SELECT doc_id, {PLAIN.format("text")} AS norm, trim(regexp_replace(replace(replace({PLAIN.format("text")}, chr(39), ''), '-', ' '), '\\s+', ' ', 'g')) AS loose FROM documents""",
+    "norm_n4": f"SELECT doc_id, regexp_replace({PLAIN.format('text')}, '[^\\p{{L}}\\p{{N}}_\\s'']', '', 'g') AS norm FROM documents",
     "norm_n3": """
-SELECT doc_id, trim(regexp_replace(array_to_string(list_transform(string_split(upper(replace(substr(text, 1, 80), 'ß', 'ss')), ''), lambda c: CASE WHEN strip_accents(c) <> c THEN strip_accents(c) || chr(39) ELSE c END), ''), '\\s+', ' ', 'g')) AS norm FROM documents""",
+SELECT doc_id, trim(regexp_replace(array_to_string(list_transform(string_split(upper(replace(text, 'ß', 'ss')), ''), lambda c: CASE WHEN strip_accents(c) <> c THEN strip_accents(c) || chr(39) ELSE c END), ''), '\\s+', ' ', 'g')) AS norm FROM documents""",
     "pad_code": """
 SELECT c_custkey, code, substr(code, 1, 3) AS province FROM (
   SELECT c_custkey, CASE WHEN t IS NULL THEN '' WHEN length(d) < 6 THEN lpad(d, 6, '0') ELSE d END AS code FROM (
@@ -165,11 +165,11 @@ SELECT region, page, nm AS comune_raw, CASE WHEN k % 5 = 0 THEN k * 7 + 1 ELSE k
   CASE WHEN k % 5 = 0 THEN k * 7 + 1 ELSE k * 7 END - k * 5 AS analfabeti_1921, k * 5 AS mf_literate
 FROM r WHERE k % 7 <> 0 AND k % 17 <> 0""",
     "carry_forward": """
-SELECT conv_id, turn, last_value(CASE WHEN turn % 3 = 0 THEN substr(text, 1, 40) END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM conversations""",
+SELECT conv_id, turn, last_value(CASE WHEN turn % 3 = 0 THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM conversations""",
     "sequence_check": """
 SELECT conv_id, turn, number, expected FROM (
   SELECT *, coalesce(last_value(number IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS expected
-  FROM (SELECT conv_id, turn, CASE WHEN turn % 5 <> 4 THEN turn + 1 END AS number FROM conversations WHERE turn % 3 <> 1))
+  FROM (SELECT conv_id, turn, CASE WHEN turn % 3 <> 1 AND turn % 5 <> 4 THEN turn + 1 END AS number FROM conversations))
 WHERE number IS NOT NULL AND number <> expected""",
     "fuzzy_length_bound": """
 WITH p AS (SELECT DISTINCT upper(p_name) AS name FROM part),
@@ -177,7 +177,7 @@ w AS (SELECT DISTINCT CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE regexp
 SELECT word, name FROM w, p WHERE 2.0 * least(length(word), length(name)) / (length(word) + length(name)) >= 0.85""",
     "reconcile": """
 SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN 'left_only' WHEN d.doc_id IS NULL THEN 'right_only' ELSE 'matched' END AS side
-FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 3 <> 0) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id""",
+FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id""",
     "tolerance_compare": f"SELECT l_orderkey, l_linenumber, extracted, value_status, exact_equal FROM ({COMPARED})",
     "compare_tally": f"""
 SELECT *, round(coalesce(100.0 * matched / nullif(matched + mismatched, 0), 0), 1) AS accuracy FROM (

@@ -105,9 +105,13 @@ def validate_documents(texts: DataFrame) -> dict[str, DataFrame]:
     live = parsed.where("not skipped")
     entries = validation.document_rows(live)
     number = lambda f: F.try_variant_get("row", f"$.{f}", "string").try_cast("long")
-    rows = entries.select("file", "i", *[number(f).alias(f) for f in validation.NUMBERS])
-    stated = live.select("file", *[F.try_variant_get("doc", f"$.totale_provincia.{f}", "string").try_cast("long").alias(f) for f in validation.TOTALS])
-    totals = validation.totals_check(rows, stated, "file", list(validation.TOTALS))
+    numbers = list(dict.fromkeys([*validation.NUMBERS, *validation.NEW_FIELDS, *validation.OLD_FIELDS]))
+    rows = entries.select("file", "i", *[number(f).alias(f) for f in numbers])
+    # Of each document, the usual totals and those that its first row's schema has.
+    schemas = entries.groupBy("file").agg(F.min_by("keys", "i").alias("first")).select("file", F.array_union(validation.schema_fields(F.col("first")), F.array(*map(F.lit, validation.TOTALS))).alias("checked"))
+    sums = list(dict.fromkeys([*validation.TOTALS, *validation.NEW_FIELDS, *validation.OLD_FIELDS]))
+    stated = live.join(schemas, "file", "left").select("file", *[F.when(F.array_contains("checked", f), F.try_variant_get("doc", f"$.totale_provincia.{f}", "string").try_cast("long")).alias(f) for f in sums])
+    totals = validation.totals_check(rows, stated, "file", sums)
     schema = validation.schema_errors(parsed)
     breaks = validation.sequence_breaks(rows, "file", "i", "numero_ordine")
     errors = schema.select("file").unionAll(totals.select("file"))

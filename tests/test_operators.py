@@ -219,3 +219,29 @@ def test_ledger_reader(spark, tmp_path):
     for _ in range(2):
         writers.append_ledger(row, str(tmp_path / "l"))
     assert rows_of(workqueue.ledger_report(readers.read_or_empty(spark, str(tmp_path / "l"))))[0][:2] == (2, 2)
+
+
+def test_field_accuracy_and_correction_counts(spark):
+    links = spark.createDataFrame([("a", "exact"), ("b", "fuzzy"), ("c", "exact")], "name string, match_type string")
+    checks = spark.createDataFrame([("a", True), ("a", False), ("b", True), ("b", None)], "name string, equal boolean")
+    one, two = spark.createDataFrame([("x",)], "name string"), spark.createDataFrame([], "name string")
+    assert tuple(validation.field_accuracy(links, checks, one, two).first()) == (2, 1, 1, 0, 4, 2, 50.0)
+    assert validation.field_accuracy(links, checks.limit(0), one, two).first()["accuracy"] is None
+    before = spark.createDataFrame([("exact:match",), ("no_ref",), ("no_ref",), (None,)], "match_status string")
+    after = spark.createDataFrame([("exact:match",), ("exact:match",), ("no_ref",)], "match_status string")
+    got = {tuple(r) for r in corrections.correction_counts(before, after).collect()}
+    assert got == {("exact:match", 1, 2), ("no_ref", 2, 1), (None, 1, 0)}
+
+
+def test_fields_of_new_and_legacy_documents(spark):
+    rows = spark.createDataFrame([('{"complesso_addetti": 5, "vendita_vino": "7"}',), ('{"industria_addetti": 3.0, "commercio_addetti": null}',)], "t string").select(F.try_parse_json("t").alias("row"))
+    new, old = (r["f"].asDict() for r in rows.select(validation.all_fields().alias("f")).collect())
+    assert new["complesso_addetti"] == 5 and new["vendita_vino"] == 7 and new["industria_addetti"] is None
+    assert old["industria_addetti"] == 3 and old["commercio_addetti"] is None and set(old) == set(validation.NEW_FIELDS + validation.OLD_FIELDS)
+
+
+def test_manifest_keeps_the_first_rows(spark):
+    rows = spark.createDataFrame([("f", i, i % 3 != 0) for i in range(40)] + [("g", 1, True)], "file string, line long, bad boolean")
+    gate = spark.createDataFrame([("f", 0.1), ("h", 0.2)], "file string, match_rate double")
+    got = {r["file"]: ([m["line"] for m in r["mismatches"]], r["n_more"]) for r in validation.review_manifest(rows, gate, "file", ["line"], F.col("bad"), "line", 4).collect()}
+    assert got == {"f": ([1, 2, 4, 5], 22), "h": ([], 0)}
