@@ -133,14 +133,17 @@ def _first_pruning(docs: DataFrame, named: DataFrame, rules: JoinRules) -> DataF
     alone = listed.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
     own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     one = named.where("n > 1").groupBy("node").agg(F.first("n").alias("n"), F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "digest")).alias("row"))
-    return one.join(own, "node", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), rules.percent)).select("node", "n", "row.id", "row.digest")
+    return one.join(own.hint("merge"), "node", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), rules.percent)).select("node", "n", "row.id", "row.digest")
 
 
 def _whole_sets(docs: DataFrame, chosen: DataFrame, rules: JoinRules) -> DataFrame:
-    """node, n and shingles of the chosen classes."""
+    """node, n and shingles of the chosen classes; a class twice if its row is repeated.
+
+    Joins here and below are merged at every size: no side has a bound, and a plan that broadcasts small ones would hide what large ones move.
+    """
     text = F.col("text").cast("string")
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
-    joined = texts.join(chosen.select("id", "digest", "node"), ["id", "digest"]).select("node", "text")
+    joined = texts.join(chosen.select("id", "digest", "node").hint("merge"), ["id", "digest"]).select("node", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +155,7 @@ def _whole_sets(docs: DataFrame, chosen: DataFrame, rules: JoinRules) -> DataFra
                     found.append(made.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(map(len, found), pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "n", "shingles"])
 
-    return joined.mapInArrow(sets, "node long, n long, shingles array<long>").dropDuplicates(["node"])
+    return joined.mapInArrow(sets, "node long, n long, shingles array<long>")
 
 
 def _half_pruning(whole: DataFrame, rules: JoinRules) -> DataFrame:
@@ -164,14 +167,14 @@ def _half_pruning(whole: DataFrame, rules: JoinRules) -> DataFrame:
     half = whole.select("node", F.explode("shingles").alias("shingle")).where("shingle >= 0")
     alone = half.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
     own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    return whole.select("node", "n").join(own, "node", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), rules.percent)).select("node")
+    return whole.select("node", "n").distinct().join(own.hint("merge"), "node", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), rules.percent)).select("node")
 
 
 def _ranked_sets(whole: DataFrame, rules: JoinRules) -> DataFrame:
     """node, n, own and shared: the shingles that others have too, as (lists' length, shingle), shortest lists first."""
     rows = whole.select("node", "n", F.explode("shingles").alias("shingle"))
     often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    held = rows.join(often, "shingle").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("shared"))
+    held = rows.join(often.hint("merge"), "shingle").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("shared"))
     held = held.withColumn("own", F.col("n") - F.size("shared"))
     return held.where(F.col("own") <= _spare(F.col("n"), rules.percent))
 
@@ -201,7 +204,7 @@ def _groups(ranked: DataFrame, limit: int) -> DataFrame:
     light, lists = (x.select("e.key", *base, F.col("e.left").cast("long").alias("left"), "heavy") for x in (light, lists))
     scanned = lists.groupBy("key").agg(F.max("heavy").alias("any_heavy"), F.count(F.lit(1)).alias("m")).where("any_heavy and m > 1").select("key")
     shared = light.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    return light.join(shared, "key").withColumn("listed", F.lit(False)).unionByName(lists.join(scanned, "key").withColumn("listed", F.lit(True)))
+    return light.join(shared.hint("merge"), "key").withColumn("listed", F.lit(False)).unionByName(lists.join(scanned.hint("merge"), "key").withColumn("listed", F.lit(True)))
 
 
 def _distinct_groups(groups: DataFrame) -> DataFrame:
@@ -212,7 +215,7 @@ def _distinct_groups(groups: DataFrame) -> DataFrame:
     marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in range(2)]
     seen = groups.groupBy("key", "listed").agg(F.count(F.lit(1)).alias("m"), F.sum("left").alias("total"), *marks)
     kept = seen.groupBy("listed", "m", "x0", "x1").agg(F.max(F.struct("total", "key")).alias("first")).select("first.key", "listed")
-    return groups.join(kept, ["key", "listed"], "left_semi")
+    return groups.join(kept.hint("merge"), ["key", "listed"], "left_semi")
 
 
 def _may_link(left: Column, sizes: Column, percent: int) -> Column:
@@ -231,7 +234,7 @@ def _open_groups(groups: DataFrame, labels: DataFrame | None, rules: JoinRules)
     held = materialize(_with_labels(groups, labels), "members")
     least = [F.min("n").alias("n0"), F.max("left").alias("left1"), F.min("label").alias("l0"), F.max("label").alias("l1"), F.max("heavy").alias("any_heavy")]
     alive = held.groupBy("key").agg(*least).where("l0 <> l1")
-    near = held.join(alive.select("key", "n0", "left1", "any_heavy"), "key")
+    near = held.join(alive.select("key", "n0", "left1", "any_heavy").hint("merge"), "key")
     open_ = near.where(_may_link(F.least("left", "left1"), F.col("n") + F.col("n0"), rules.percent) & (~F.col("listed") | F.col("any_heavy"))).select(*held.columns)
     out = materialize(open_, "held")
     release(held)
@@ -259,7 +262,7 @@ def _verified(pairs: DataFrame, whole: DataFrame, rules: JoinRules) -> DataFrame
     """The pairs (a, b) that link, by their whole sets."""
     one = whole.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     two = whole.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(two, "b").join(one, "a")
+    both = pairs.hint("merge").join(two, "b").hint("merge").join(one, "a")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= rules.percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
@@ -301,7 +304,7 @@ def _compared_sets(docs: DataFrame, named: DataFrame, rules: JoinRules) -> tuple
     chosen = materialize(_first_pruning(docs, named, rules), "chosen")
     whole = materialize(_whole_sets(docs, chosen, rules), "sets")
     halves = materialize(_half_pruning(whole, rules), "halves")
-    kept = materialize(whole.join(halves, "node", "left_semi"), "kept")
+    kept = materialize(whole.join(halves.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "kept")
     release(chosen, whole, halves)
     ranked = _ranked_sets(kept, rules)
     # Shingles of one's own come first in the order, so they take up the prefix's first places.
@@ -310,7 +313,7 @@ def _compared_sets(docs: DataFrame, named: DataFrame, rules: JoinRules) -> tuple
         ranked = ranked.withColumn(name, F.transform(F.slice("shared", F.lit(1), F.greatest(F.lit(0), room + more).cast("int")), lambda x: x["shingle"]))
     ranked = materialize(ranked.select("node", "n", "own", "prefix", "longer"), "prefixes")
     # Each round compares whole sets, so those that are in no group must not be moved again.
-    compared = materialize(kept.join(ranked.select("node"), "node", "left_semi"), "compared")
+    compared = materialize(kept.join(ranked.select("node").hint("merge"), "node", "left_semi"), "compared")
     release(kept)
     return compared, ranked
 
