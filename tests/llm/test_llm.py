@@ -360,15 +360,43 @@ def test_shards(docs, empty):
 
 def test_shards_follow_weights_and_move_only_in(spark):
     ids = spark.range(20000).select(F.col("id").alias("doc_id"))
-    for n in (1, 5, 24, 25):
+    for n in (8, 16, 24):  # full regions: one more shard takes documents only into itself
         both = sharding.assign_shards(sharding.assign_shards(ids, sharding.tree(n)), sharding.tree(n + 1), out_col="grown")
-        assert both.where(f"grown <> shard and grown <> {n}").count() == 0
+        assert both.where(f"grown <> shard and grown <> {n}").count() == 0 and both.where(f"grown = {n}").count() > 0.5 * 20000 / (n + 1)
+    for n in (1, 5, 13, 21, 25):  # elsewhere documents come into the subtree that grows; inside other subtrees nothing moves
+        both = sharding.assign_shards(sharding.assign_shards(ids, sharding.tree(n)), sharding.tree(n + 1), out_col="grown")
+        grown = sharding.tree(n + 1)[-1]
+        region = lambda c: F.floor(F.col(c) / 8)
+        rack = lambda c: F.floor(F.col(c) / 4)
+        moved = both.where("grown <> shard")
+        assert moved.where(region("grown") != grown.region).count() == 0
+        assert moved.where((region("shard") == grown.region) & (rack("grown") != grown.rack)).count() == 0
+        assert moved.where((rack("shard") == grown.rack) & (F.col("grown") != grown.shard)).count() == 0
     leaves = sharding.tree(4, 2, 1)
     heavy = [sharding.Leaf(x.region, x.rack, x.shard, 3.0 if x.shard == 1 else 1.0) for x in leaves]
     counts = dict(sharding.assign_shards(ids, heavy).groupBy("shard").count().collect())
-    assert abs(counts[1] / 20000 - 0.5) < 0.02
+    assert all(abs(counts[k] / 20000 - (0.5 if k == 1 else 1 / 6)) < 0.02 for k in range(4))
     moved = sharding.assign_shards(sharding.assign_shards(ids, leaves), heavy, out_col="after").where("after <> shard")
-    assert moved.where("after <> 1").count() == 0 and moved.count() > 0
+    assert moved.count() > 0 and moved.where("shard in (2, 3) and after in (2, 3)").count() == 0 and moved.where("shard = 1").count() == 0
+
+
+def test_shards_equal_a_walk_down_the_tree(spark):
+    import math
+
+    def draw(key, name, weight):
+        h = int(hashlib.md5(f"{key}:{name}".encode()).hexdigest()[:12], 16)
+        return -math.log((2.0**48 - h) / float(2**48 + 1)) / weight
+
+    leaves = [sharding.Leaf(x.region, x.rack, x.shard, 1.0 + x.shard % 3) for x in sharding.tree(13)]
+    for r in sharding.assign_shards(spark.range(500).select(F.col("id").alias("doc_id")), leaves).collect():
+        here = leaves
+        for level, mark in (("region", "r"), ("rack", "k"), ("shard", "s")):
+            weights = Counter()
+            for x in here:
+                weights[getattr(x, level)] += x.weight
+            best = min(weights, key=lambda c: (draw(r["doc_id"], f"{mark}{c}", weights[c]), c))
+            here = [x for x in here if getattr(x, level) == best]
+        assert r["shard"] == here[0].shard
 
 
 # --- mixing
