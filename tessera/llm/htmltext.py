@@ -62,7 +62,8 @@ for _i, _line in enumerate(TOPICS):
     for _w in _line.split():
         TOPIC_OF.setdefault(_w, _i)
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>|</?[a-zA-Z][^>]*>""", re.S)
+_NAME = re.compile(r"""/?([a-zA-Z][^\s/>"']*)""")
+_STOP = re.compile("[>\"']")
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _MARKS = re.compile(r"[.!?,;:]")
@@ -77,8 +78,7 @@ class Node:
         self.own_chars = self.own_links = self.marks = self.controls = 0
 
 
-@lru_cache(4096)
-def _attributes(raw: str) -> tuple[tuple, bool]:
+def _read_attributes(raw: str) -> tuple[tuple, bool]:
     topics, hidden = [0] * len(TOPICS), False
     for name, value in _ATTR.findall(raw):
         name, value = name.lower(), value.strip("\"'")
@@ -92,11 +92,76 @@ def _attributes(raw: str) -> tuple[tuple, bool]:
     return tuple(topics), hidden
 
 
+_short_attributes = lru_cache(4096)(_read_attributes)
+
+
+def _attributes(raw: str) -> tuple[tuple, bool]:
+    """Topics of an element's attributes and whether they hide it; those of usual length are remembered."""
+    return _short_attributes(raw) if len(raw) <= 200 else _read_attributes(raw)
+
+
+def _tag_end(page: str, at: int, failed: set[int]) -> int:
+    """The place after the ``>`` that ends a tag, quoted values passed over; -1 if an open quote leaves it without end.
+
+    ``failed`` holds the opening quotes that an earlier call found to lead nowhere, so that no stretch of a page is walked again and again.
+    """
+    seen: list[int] = []
+    while m := _STOP.search(page, at):
+        here = m.start()
+        if m[0] == ">":
+            return here + 1
+        if here in failed:
+            break
+        seen.append(here)
+        close = page.find(m[0], here + 1)
+        if close < 0:
+            break
+        at = close + 1
+    failed.update(seen)
+    return -1
+
+
+def tags(page: str):
+    """(start, end, name, closing, attributes) of each tag and comment, by one walk over the page; the name is empty for what is skipped.
+
+    The consumer may send a place from which to go on.
+    """
+    failed: set[int] = set()
+    last, at = page.rfind(">"), 0
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            close = page.find("-->", start + 4)
+            found = (start, close + 3 if close >= 0 else len(page), "", False, "")
+        elif start > last:  # no tag can end any more, only a comment could
+            at = start + 1
+            continue
+        elif page[start + 1 : start + 2] in ("!", "?"):
+            found = (start, page.index(">", start) + 1, "", False, "")
+        elif m := _NAME.match(page, start + 1):
+            end = _tag_end(page, m.end(), failed)
+            if end > 0:
+                found = (start, end, m[1].lower(), m[0][0] == "/", page[m.end() : end - 1])
+            else:
+                found = (start, page.index(">", start) + 1, "", False, "")
+        else:
+            at = start + 1
+            continue
+        onward = yield found
+        at = found[1] if onward is None else onward
+
+
+@lru_cache(None)
+def _closing(tag: str) -> re.Pattern:
+    """Of the bounded number of raw elements."""
+    return re.compile(rf"</{tag}\s*>", re.I)
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
     """Block nodes in page order, and the text pieces (node, block, decoded text)."""
     nodes = [Node("html", -1, 0, (0,) * len(TOPICS), False, 0)]
     pieces: list[tuple[int, int, str]] = []
     stack: list[tuple[str, int]] = [("html", 0)]
+    depths: dict[str, list[int]] = {"html": [0]}
     here, block, links, chars, at = 0, 0, 0, 0, 0
 
     def text(raw: str) -> None:
@@ -116,30 +181,49 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
     def drop_to(depth: int) -> None:
         """Close all open elements from ``depth`` on."""
         nonlocal here, block, links
-        for tag, k in stack[depth:]:
+        for tag, _ in stack[depth:]:
             links -= tag == "a"
             block += tag in BLOCKS
+            depths[tag].pop()
         del stack[depth:]
         here = stack[-1][1] if stack else 0
 
-    def find(tags, stop) -> int:
-        for d in range(len(stack) - 1, 0, -1):
-            if stack[d][0] in tags:
-                return d
-            if stack[d][0] in stop:
-                break
-        return 0
-
-    end = 0
-    while m := _TAG.search(page, end):
-        if m.start() > end:
-            text(page[end : m.start()])
-        end = m.end()
-        tag = m[2]
-        if tag is None:
+    def push(tag: str) -> None:
+        depths.setdefault(tag, []).append(len(stack))
+        stack.append((tag, here))
+
+    def deepest(names) -> int:
+        return max((depths[x][-1] for x in names if depths.get(x)), default=0)
+
+    def find(names, stop) -> int:
+        """Depth of the innermost open element of ``names``, 0 if there is none or one of ``stop`` is open inside it."""
+        d = deepest(names)
+        return d if d and d >= deepest(stop) else 0
+
+    unclosed: set[str] = set()
+
+    def closing(tag: str, at: int):
+        """The closing tag of a raw element from ``at`` on; once there is none, there is none later."""
+        if tag in unclosed:
+            return None
+        m = _closing(tag).search(page, at)
+        if not m:
+            unclosed.add(tag)
+        return m
+
+    end, walk, onward = 0, tags(page), None
+    while True:
+        try:
+            start, after, tag, ends, raw = walk.send(onward)
+        except StopIteration:
+            break
+        onward = None
+        if start > end:
+            text(page[end:start])
+        end = after
+        if not tag:
             continue
-        tag = tag.lower()
-        if m[1]:
+        if ends:
             d = find((tag,), SCOPE - {tag} if tag in ("p", "li", "a", "b", "i", "em", "span") else ())
             if d and tag not in ("body", "html"):
                 drop_to(d)
@@ -147,14 +231,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
         if tag in RAW:
             if tag in CONTROLS:
                 nodes[here].controls += 1
-            low = re.compile(rf"</{re.escape(tag)}\s*>", re.I)
-            if m[3].endswith("/"):
+            if raw.endswith("/"):
                 continue
-            if tag == "head" and not low.search(page, end):
-                continue
-            closing = low.search(page, end)
-            if closing or tag in RAW_TEXT:
-                end = closing.end() if closing else len(page)
+            m = closing(tag, end)
+            if m or tag in RAW_TEXT:
+                end = onward = m.end() if m else len(page)
             continue
         if tag in CONTROLS:
             nodes[here].controls += 1
@@ -166,11 +247,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
             continue
         if tag in ("html", "body"):
             if tag == "body" and len(nodes) == 1:
-                topics, hidden = _attributes(m[3])
+                topics, hidden = _attributes(raw)
                 nodes.append(Node("body", 0, 1, topics, False, chars))
                 nodes[0].children.append(1)
-                stack.append(("body", 1))
                 here = 1
+                push("body")
             continue
         if tag in CLOSES_P and (d := find(("p",), SCOPE)):
             drop_to(d)
@@ -178,15 +259,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
             drop_to(d)
         if tag in BLOCKS:
             block += 1
-            topics, hidden = _attributes(m[3]) if m[3] else (nodes[0].topics, False)
+            topics, hidden = _attributes(raw) if raw else (nodes[0].topics, False)
             nodes.append(Node(tag, here, nodes[here].depth + 1, topics, hidden, chars, len(nodes[here].children)))
             nodes[here].children.append(len(nodes) - 1)
             here = len(nodes) - 1
-        links += tag == "a"
-        if not m[3].endswith("/") or tag in BLOCKS:
-            stack.append((tag, here))
-        else:
-            links -= tag == "a"
+        if not raw.endswith("/") or tag in BLOCKS:
+            links += tag == "a"
+            push(tag)
     if end < len(page):
         text(page[end:])
     for node in nodes:

@@ -279,6 +279,49 @@ def test_broken_pages():
         htmltext.extract_pages([page], trees)
 
 
+@pytest.mark.parametrize("page", ["<p" * 100_000, "<div>" * 100_000 + "text" + "</div>" * 100_000, "<a '" * 250_000, "<a \"" * 125_000 + "<b '>" * 100_000, "<a '\">x" * 150_000, "<select>" * 100_000, "<p><td>" + "<div>" * 60_000, "<!--" * 100_000, "<" * 500_000, "<p " + " " * 900_000 + "x>", "&amp" * 200_000])
+def test_hostile_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    nodes, pieces = htmltext.parse(page)
+    assert time.process_time() - began < 4 and len(nodes) <= 1 + page.count("<")
+
+
+def brute_tags(page):
+    """Tags by a plain pattern, which takes cubic time at worst."""
+    pattern = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>"']*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>|</?[a-zA-Z][^>]*>""", re.S)
+    return [(m.start(), m.end(), (m[2] or "").lower(), m[1] == "/", m[3] or "") for m in pattern.finditer(page)]
+
+
+def test_tags_equal_a_plain_pattern():
+    rng = random.Random(31)
+    parts = ["<", ">", "<p", "</", "a", " ", "\"", "'", "=", "<!--", "-->", "<!", "<?", "/", "x='1>2'", "</p>", "<b c=\"d\">", "\n", "<1"]
+    for _ in range(20_000):
+        page = "".join(rng.choices(parts, k=rng.randint(0, 14)))
+        assert list(htmltext.tags(page)) == brute_tags(page), page
+
+
+#: Shapes that the generator does not make, labelled by hand: (page, text).
+SHAPES = [
+    ("""<html><body><div id="page"><div id="masthead"><h2><a href="/">The Daily</a></h2></div><div id="nav"><a href="/1">World</a> <a href="/2">Sport</a></div><div class="story-body"><h1>River rises again</h1>
+<p>The river rose for a third day, officials said on Monday, and boats were tied up along the whole bank.</p><p>Nobody was hurt, but two bridges stay closed until the water falls.</p></div>
+<div class="comments"><h3>Comments</h3><p>First!</p></div><div id="footer">Copyright The Daily. All rights reserved.</div></div></body></html>""",
+     "River rises again\nThe river rose for a third day, officials said on Monday, and boats were tied up along the whole bank.\nNobody was hurt, but two bridges stay closed until the water falls."),
+    ("""<body><header><nav><a href=a>Home</a><a href=b>Docs</a></nav></header><main><article><h1>Install</h1><p>Download the file and unpack it into a folder of your own choice.</p><pre>tar xf file.tar</pre>
+<p>Then run the program once, so that it can write its settings.</p></article></main><aside class=sidebar><ul><li><a href=c>Older versions</a></li><li><a href=d>Mirrors</a></li></ul></aside><footer>Made by us</footer></body>""",
+     "Install\nDownload the file and unpack it into a folder of your own choice.\ntar xf file.tar\nThen run the program once, so that it can write its settings."),
+    ("""<html><body><div class="cookie-banner"><p>We use cookies to improve your visit.</p><button>Accept</button></div><article class="post"><h1>Bread</h1><p>Mix flour, water and salt, and leave the dough alone for a night.</p><ul><li>500 g flour, sifted twice</li><li>350 g water, a little warm</li></ul>
+<p>Bake it hot, and do not cut it before it is cold.</p></article><form action="/s"><label>Join our list</label><input><button>Go</button></form></body></html>""",
+     "Bread\nMix flour, water and salt, and leave the dough alone for a night.\n500 g flour, sifted twice\n350 g water, a little warm\nBake it hot, and do not cut it before it is cold."),
+]
+
+
+@pytest.mark.parametrize("page, want", SHAPES)
+def test_pages_labelled_by_hand(page, want):
+    assert htmltext.extract_pages([page], htmltext.model())[0] == want
+
+
 def test_pages_query(spark):
     got = queries.QUERIES["op4_html_extraction"](spark, SF)
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
