@@ -5,7 +5,7 @@ dictionary stays in reach along texts of any length, and every block is compress
 the fewest bytes in all wins.  Both sides are lower-cased first.  Where the runner-up needs less than ``min_margin`` more, the prediction is marked as not accepted.
 
 Learning uses a bounded sample: of each language's labelled rows, one for each of ``sample_docs`` salts (the row with the least hash among
-those of that salt), at most ``doc_bytes`` of each, up to ``dict_bytes`` in all.
+those of that salt), whole texts, the shortest first, as long as they fit into ``dict_bytes`` in all; the shortest is always used.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; texts are used whole; a table without labelled
 rows predicts ``und`` throughout; ties go to the first language in order; repeated rows give repeated results.
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches
@@ -31,7 +31,6 @@ class LanguageRules:
     """Production parameters."""
 
     sample_docs: int = 128
-    doc_bytes: int = 1024
     dict_bytes: int = 110 * 1024
     block_bytes: int = 4096
     level: int = 5
@@ -47,18 +46,22 @@ def has_letter(text: str | None) -> bool:
 def learn(labelled: DataFrame, rules: LanguageRules = LanguageRules(), id_col: str = "doc_id") -> dict[str, bytes]:
     """Dictionary content by language, from the ``lang`` and ``text`` of the labelled rows.
 
-    At most ``sample_docs`` ids a language come together, by an aggregate that combines before the shuffle; then their texts.
+    At most ``sample_docs`` ids and sizes a language come together, by an aggregate that combines before the shuffle; then the texts that fit.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")).select(F.col(id_col).alias("_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    hashed = rows.withColumn("_h", F.xxhash64(F.col("_id").cast("string")))
-    chosen = hashed.groupBy("lang", F.pmod("_h", F.lit(rules.sample_docs)).alias("_salt")).agg(F.min(F.struct("_h", "_id")).alias("m")).select("lang", F.col("m._h").alias("_h"), F.col("m._id").alias("_id")).distinct()
-    texts = hashed.join(F.broadcast(chosen), ["lang", "_h", "_id"]).groupBy("lang", "_h", "_id").agg(F.min(F.substring("text", 1, rules.doc_bytes)).alias("text"))
+    keys = ["lang", "_h", "_id", "_size"]
+    hashed = rows.withColumn("_h", F.xxhash64(F.col("_id").cast("string"))).withColumn("_size", F.octet_length("text"))
+    sample = hashed.groupBy("lang", F.pmod("_h", F.lit(rules.sample_docs)).alias("_salt")).agg(F.min(F.struct("_h", "_id", "_size")).alias("m")).select("lang", "m.*").distinct()
+    so_far = Window.partitionBy("lang").orderBy("_size", "_h", "_id").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = sample.withColumn("_sum", F.sum(F.col("_size") + 1).over(so_far)).withColumn("_place", F.row_number().over(so_far)).where((F.col("_sum") <= rules.dict_bytes) | (F.col("_place") == 1)).select(*[F.col(k).alias(f"{k}2") for k in keys])
+    same = F.col("lang") == F.col("lang2")
+    for k in keys[1:]:
+        same &= F.col(k).eqNullSafe(F.col(f"{k}2"))
+    texts = hashed.join(F.broadcast(chosen), same).groupBy(*keys).agg(F.min("text").alias("text"))
     held: dict[str, list[bytes]] = {}
-    for row in sorted(texts.collect(), key=lambda r: (r["lang"], r["_h"], str(r["_id"]))):
-        parts = held.setdefault(row["lang"], [])
-        if sum(map(len, parts)) < rules.dict_bytes:
-            parts.append(row["text"].lower().encode()[: rules.doc_bytes])
-    return {lang: b"\n".join(parts)[: rules.dict_bytes] for lang, parts in sorted(held.items())}
+    for row in sorted(texts.collect(), key=lambda r: (r["lang"], -r["_size"], r["_h"], str(r["_id"]))):  # short ones last, so nearest to what is compressed
+        held.setdefault(row["lang"], []).append(row["text"].lower().encode("utf-8", "surrogatepass"))
+    return {lang: b"\n".join(parts) for lang, parts in sorted(held.items())}
 
 
 class Classifier:
