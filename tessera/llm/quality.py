@@ -1,8 +1,8 @@
 """Quality rules: divergence of character-class and common-word histograms from language references.
 
 Each text becomes two histograms: character classes (by UTF-8 byte) and common words (a fixed list for a few languages, all
-other words in one class).  The references are the summed histograms of all documents of a language, so they are gathered
-from the whole corpus, as one row of counts for each language and class.  A text is far from a language if
+other words in one class; capitals and sentence marks do not count).  The references are the summed histograms of all documents of a language
+that pass the base rules, so they are gathered from the whole corpus, as one row of counts for each language and class.  A text is far from a language if
 the Jensen-Shannon distance (base 2, 0 to 1) of its characters or of its words exceeds its threshold; it is rejected if it is
 far from every reference.  A text without common words is only as far from a reference as that one's own share of common words puts it,
 and short texts scatter, so the word threshold goes by reference and length (``word_limits``).  Texts under ``min_words`` words or ``min_chars`` characters (of any class) are too short to judge and pass the
@@ -39,6 +39,8 @@ COMMON_WORDS = {
     "nl": "het een van dat te zijn op aan voor er maar niet ook bij wordt",
 }
 SYMBOLS = "#*$%&|<>"
+#: Marks that do not tell a common word from itself; A-Z counts as a-z there too.
+SENTENCE_MARKS = b".,;:!?\"()[]"
 BLANKS = " \t\n\r\x0b\x0c"
 
 
@@ -120,7 +122,8 @@ def text_counts(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
     words = raw.split()
     chars = np.bincount(BYTE_CLASSES[np.frombuffer(raw, dtype=np.uint8)], minlength=N_CHAR + 1)[:N_CHAR]
     common = np.zeros(N_WORD, dtype=np.int64)
-    for word, n in Counter(filter(VOCABULARY.__contains__, words)).items():
+    plain = raw.lower().translate(None, SENTENCE_MARKS).split()
+    for word, n in Counter(filter(VOCABULARY.__contains__, plain)).items():
         common[VOCABULARY[word]] = n
     common[-1] = len(words) - common.sum()
     base = [len(words), len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeated_words(words)]
@@ -208,7 +211,8 @@ def language_references(features: DataFrame, rules: QualityRules = QualityRules(
         rows = [(lang, i, int(n)) for lang, both in held.items() for i, n in enumerate(both) if n]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "bin", "n"])
 
-    partial = features.where(F.col("lang").isNotNull()).select("lang", "char_hist", "word_hist").mapInArrow(sums, "lang string, bin int, n long")
+    sound = (F.col("n_words") >= rules.min_words) & (100 * F.col("n_repeat_words") <= rules.repeat_percent * F.col("n_words"))
+    partial = features.where(F.col("lang").isNotNull() & sound).select("lang", "char_hist", "word_hist").mapInArrow(sums, "lang string, bin int, n long")
     total = partial.groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     per_lang = total.groupBy("lang").agg(F.sum(F.when(F.col("bin") >= N_CHAR, F.col("n"))).alias("words"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("bins"))
     found = {}
