@@ -10,12 +10,12 @@ the corpus and memory in its proportion.  Instead windows and reference are cut
 2. Segments, the pieces of both reference and documents, are aggregated to distinct ones with their numbers.  An anchor that
    occurs more than ``frequent`` times sends its windows one by one, each under a key of its own, so no key holds a large group.
 3. A shard is a run of keys with at most about ``shard_words`` words.  Its suffix automaton (over words, with the number of places of
-   every state) is built in the task that holds it, and the shard's segments stream through it: at each word the state of the
-   last ``window`` words tells in how many places they stand.  A key with a single distinct segment has an automaton
-   that is one path, whose places are the segment's number.
+   every state) is built in the task that holds it, and the shard's segments stream through it for matching statistics: the state of the
+   last ``window`` words at each word tells in how many places they stand.  Every marked word has been through an automaton.
 4. Marks go back to the documents, where overlapping windows join to maximal spans, which are removed.
 
-Hashes (64 bits) only route; what counts as repeated is decided on the words themselves inside a shard.  Repeats are judged on the input.
+What counts as repeated is decided on the words themselves inside a shard.  Segments and documents are named by 64-bit hashes, so two different
+ones of one name (expected among some 10^9 of one key's segments, or of all documents) would be taken for one.  Repeats are judged on the input.
 
 Defined results: null and empty texts have no words; texts under ``window`` words are left whole; texts are used whole; repeated rows count
 as documents of their own, so their windows repeat; an empty table gives an empty table; words are never changed.
@@ -122,33 +122,36 @@ class SuffixAutomaton:
                 self.places[self.link[s]] += self.places[s]
 
     def repeated(self, words: list, window: int) -> int:
-        """Bits of the windows of ``words``, a sequence added before, that stand in two places or more."""
-        state = bits = 0
+        """Bits of the windows of ``words`` that stand in two places or more, by matching statistics: at each word, the longest run that the automaton knows.
+
+        Where a word does not go on, the suffix links lead to the longest shorter run that it does go on from.
+        """
+        state = length = bits = 0
         for i, c in enumerate(words):
-            state = self.next[state][c]
-            while self.size[self.link[state]] >= window:
+            after = self.next[state].get(c)
+            while after is None and state:
                 state = self.link[state]
-            if i >= window - 1 and self.places[state] > 1:
-                bits |= 1 << (i - window + 1)
+                length = self.size[state]
+                after = self.next[state].get(c)
+            if after is None:
+                continue
+            state, length = after, length + 1
+            if length >= window:
+                while self.size[self.link[state]] >= window:
+                    state = self.link[state]
+                    length = self.size[state]
+                if self.places[state] > 1:
+                    bits |= 1 << (i - window + 1)
         return bits
 
 
 def shard_marks(units: list[tuple[int, int, int, bytes]], rules: RepeatRules) -> list[tuple[int, int, int]]:
     """(key, unit, bits) of a shard's units (key, unit, times, words); all units of a key are in the shard."""
-    by_key: dict[int, list] = {}
-    for key, unit, times, text in units:
-        by_key.setdefault(key, []).append((unit, times, text.split(b" ")))
-    machine, found, streamed = SuffixAutomaton(), [], []
-    for key, group in by_key.items():
-        if len(group) == 1 and group[0][1] > 1:
-            found.append((key, group[0][0], (1 << (len(group[0][2]) - rules.window + 1)) - 1))
-        else:
-            streamed += [(key, *x) for x in group]
+    machine, streamed = SuffixAutomaton(), [(key, unit, times, text.split(b" ")) for key, unit, times, text in units]
     for _, _, times, words in streamed:
         machine.add(words, times)
     machine.close()
-    found += [(key, unit, bits) for key, unit, _, words in streamed if (bits := machine.repeated(words, rules.window))]
-    return found
+    return [(key, unit, bits) for key, unit, _, words in streamed if (bits := machine.repeated(words, rules.window))]
 
 
 def _words(text: str | None) -> list[bytes]:
