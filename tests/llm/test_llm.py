@@ -386,6 +386,19 @@ def test_automaton_counts_places():
             assert machine.repeated(s, 3) == sum(1 << k for k in range(len(s) - 2) if count[tuple(s[k : k + 3])] > 1)
 
 
+def test_streamed_words_that_the_automaton_lacks():
+    rng = random.Random(14)
+    for _ in range(200):
+        known = [rng.choices("abcd", k=rng.randint(1, 30)) for _ in range(3)]
+        machine = substrings.SuffixAutomaton()
+        for s in known:
+            machine.add(s, 1)
+        machine.close()
+        count = Counter(tuple(s[k : k + 4]) for s in known for k in range(len(s) - 3))
+        for text in [*known, rng.choices("abcdxy", k=60), list("xyz")]:
+            assert machine.repeated(text, 4) == sum(1 << k for k in range(len(text) - 3) if count[tuple(text[k : k + 4])] > 1)
+
+
 # --- shards
 
 
@@ -462,6 +475,39 @@ def test_mix_is_fair(spark, docs, empty):
     assert mixing.mix_sources(empty).count() == 0 and mixing.mixed_order(docs).columns == docs.columns
 
 
+def brute_mix(counts, shares, period, block):
+    """Slots of each source's blocks by earliest deadline first, slot by slot."""
+    need = {s: -(-n // block) for s, n in counts.items()}
+    done, slots, t = dict.fromkeys(counts, 0), {}, 0
+    while any(done[s] < need[s] for s in counts):
+        ready = [(-(-(done[s] + 1) * period // shares[s]), s) for s in counts if done[s] * period // shares[s] <= t]
+        if ready:
+            s = min(ready)[1]
+            if done[s] < need[s]:
+                slots[s, done[s]] = t
+            done[s] += 1
+        t += 1
+    return slots
+
+
+def test_mix_equals_slot_by_slot_scheduling(spark):
+    rng = random.Random(17)
+    for block, period, weights in ((4, 30, {"a": 0.5, "b": 0.3, "c": 0.2}), (1, 24, {"a": 0.7, "b": 0.2, "c": 0.1}), (3, 12, None)):
+        rows = [(i, rng.choice("aaab" if i % 2 else "abc")) for i in range(700)]
+        df = spark.createDataFrame(rows, "doc_id long, source string")
+        shares = {r["source"]: r["share"] for r in mixing.source_shares(df, weights, period).selectExpr("inline(shares)").collect()}
+        got = {(r["source"], r["mix_block"]): r["mix_slot"] for r in mixing.mix_sources(df, weights, block, period).collect()}
+        assert got == brute_mix(Counter(s for _, s in rows), shares, sum(shares.values()), block)
+
+
+def test_clashing_names_pass_through(spark):
+    names = ["_row", "_hash", "_s", "_turn", "_share2", "_key", "_n", "_before", "_rank", "_sub", "_Digest", "_none", "MIX_SLOT", "mix_row"]
+    rows = [(i, f"some words of text number {i} that go on for a while", "s", *[f"{n}{i}" for n in names]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    for made in (mixing.mixed_order(df), jaccard.keep_one_of_each(df)):
+        assert made.columns == df.columns and sorted(map(tuple, made.collect())) == sorted(rows)
+
+
 def test_mix_plan_is_native(spark, docs):
     plan = mixing.mix_sources(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -572,6 +618,32 @@ def test_join_links_sets_of_different_size(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
 
 
+def test_join_of_a_shared_passage_that_does_not_link(spark):
+    rng = random.Random(19)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrst", k=6))
+    passage, near = [word() for _ in range(60)], [word() for _ in range(90)]
+    rows = [" ".join(passage + [word() for _ in range(rng.randint(8, 18))]) for _ in range(500)]
+    rows += [" ".join([w if rng.random() > 0.02 else word() for w in near]) for _ in range(150)]
+    rows = list(enumerate(rows))
+    want = brute_components(rows)
+    made = []
+    pairs = jaccard._pairs
+    try:
+        jaccard._pairs = lambda *a: (made.append(pairs(*a)), made[-1])[1]
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        jaccard._pairs = pairs
+    assert got == want and len({c for _, c in want.values()}) > 250 and len(made) <= 3
+
+
+def test_join_rows_without_ids(spark):
+    rng = random.Random(23)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(40)) for _ in range(60)]
+    rows = [(None, t) for t in texts] + [(None, t + " tail") for t in texts] + [(1, texts[0] + " end")]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 121 and sum(r["component_id"] == 1 for r in got) == 3 and sum(r["component_id"] is None for r in got) == 118
+
+
 def test_join_odd_rows(docs, empty):
     rows = [(i, t) for i, t, *_ in odd_rows()]
     want = brute_components([r for r in rows if r[0] is not None])
