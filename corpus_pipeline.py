@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor.  All but the last return the columns of
 ``documents``.  The mix takes effect as the order of the rows in the files of its stage, which the packing stage reads back
-(file name, row number) and follows in the numbers of its sequences; where rows carry no place in a file they go by hash.
+(file name, row number) and follows in the numbers of its sequences; rows that carry no place in a file are written first.
 """
 
 from __future__ import annotations
@@ -37,10 +37,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents; sequences of one length are numbered in the order of the mix."""
+    place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     try:
-        placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    except AnalysisException:
-        return packing.pack_documents(docs, keep_ids=False)
+        placed = docs.select("doc_id", "text", *place)
+    except AnalysisException:  # not read from files: write the rows as they come
+        placed = materialize(docs.select("doc_id", "text"), "mix").select("doc_id", "text", *place)
     return packing.pack_documents(placed, keep_ids=False, rank=("_file", "_row"))
 
 
