@@ -199,20 +199,18 @@ def quality_features(docs: DataFrame, keep: list[str]) -> DataFrame:
     return chosen.mapInArrow(features, schema)
 
 
-def language_references(features: DataFrame, rules: QualityRules = QualityRules()) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Summed histograms of each language with ``min_reference_words`` words: one short row a language comes back."""
+def _is_sound(n_words, n_repeat_words, rules: QualityRules):
+    """Whether texts of these counts pass the base rules."""
+    return (n_words >= rules.min_words) & (100 * n_repeat_words <= rules.repeat_percent * n_words)
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for lang, chars, common in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                both = np.concatenate([np.frombuffer(chars, "<i8"), np.frombuffer(common, "<u4").astype(np.int64)])
-                held[lang] = held[lang] + both if lang in held else both
-        rows = [(lang, i, int(n)) for lang, both in held.items() for i, n in enumerate(both) if n]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "bin", "n"])
 
-    sound = (F.col("n_words") >= rules.min_words) & (100 * F.col("n_repeat_words") <= rules.repeat_percent * F.col("n_words"))
-    partial = features.where(F.col("lang").isNotNull() & sound).select("lang", "char_hist", "word_hist").mapInArrow(sums, "lang string, bin int, n long")
+def _sum_batch(held: dict[str, np.ndarray]) -> pa.RecordBatch:
+    rows = [(lang, i, int(n)) for lang, both in held.items() for i, n in enumerate(both) if n]
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "bin", "n"])
+
+
+def _references(partial: DataFrame, rules: QualityRules) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """References from partial sums (lang, bin, n): one short row a language comes back."""
     total = partial.groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     per_lang = total.groupBy("lang").agg(F.sum(F.when(F.col("bin") >= N_CHAR, F.col("n"))).alias("words"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("bins"))
     found = {}
@@ -224,6 +222,39 @@ def language_references(features: DataFrame, rules: QualityRules = QualityRules(
     return dict(sorted(found.items()))
 
 
+def language_references(features: DataFrame, rules: QualityRules = QualityRules()) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Summed histograms of each language with ``min_reference_words`` words, from the rows that pass the base rules."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, chars, common in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                both = np.concatenate([np.frombuffer(chars, "<i8"), np.frombuffer(common, "<u4").astype(np.int64)])
+                held[lang] = held[lang] + both if lang in held else both
+        yield _sum_batch(held)
+
+    sound = F.col("lang").isNotNull() & _is_sound(F.col("n_words"), F.col("n_repeat_words"), rules)
+    return _references(features.where(sound).select("lang", "char_hist", "word_hist").mapInArrow(sums, "lang string, bin int, n long"), rules)
+
+
+def text_references(docs: DataFrame, rules: QualityRules = QualityRules()) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The same from the texts themselves, in one pass by one Python process a task."""
+    small_batches(docs.sparkSession)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                base, chars, common = text_counts(text.as_py() or "")
+                if _is_sound(base[0], base[4], rules):
+                    both = np.concatenate([chars, common])
+                    held[lang] = held[lang] + both if lang in held else both
+        yield _sum_batch(held)
+
+    labelled = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang is not null")
+    return _references(labelled.mapInArrow(sums, "lang string, bin int, n long"), rules)
+
+
 def judge(features: DataFrame, references: dict[str, tuple[np.ndarray, np.ndarray]], rules: QualityRules = QualityRules()) -> DataFrame:
     """The features without histograms, with base_failed, char_distance, word_distance, nearest_lang and kept."""
     langs = list(references)
@@ -237,7 +268,7 @@ def judge(features: DataFrame, references: dict[str, tuple[np.ndarray, np.ndarra
     def verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, repeats = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_words", "n_repeat_words"))
-            failed = (n_words < rules.min_words) | (100 * repeats > rules.repeat_percent * n_words)
+            failed = ~_is_sound(n_words, repeats, rules)
             chars = np.array([np.frombuffer(x, "<i8") for x in batch.column("char_hist").to_pylist()]).reshape(batch.num_rows, N_CHAR)
             common = np.array([np.frombuffer(x, "<u4") for x in batch.column("word_hist").to_pylist()]).reshape(batch.num_rows, N_WORD)
             enough = (chars.sum(1) >= rules.min_chars) & (n_words >= rules.min_words)
@@ -263,7 +294,7 @@ def quality_digests(docs: DataFrame, rules: QualityRules = QualityRules()) -> Da
 
 def keep_good(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """The rows of ``docs`` that pass, unchanged: references from all rows first, then the verdict text by text in one pass."""
-    references = language_references(quality_features(docs, []), rules)
+    references = text_references(docs, rules)
     langs = list(references)
     small_batches(docs.sparkSession)
     ref_chars = np.array([references[x][0] for x in langs]).reshape(len(langs), N_CHAR)
@@ -273,7 +304,7 @@ def keep_good(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFram
     @F.udf("boolean", useArrow=True)
     def passes(text):
         base, chars, common = text_counts(text or "")
-        if base[0] < rules.min_words or 100 * base[4] > rules.repeat_percent * base[0]:
+        if not _is_sound(base[0], base[4], rules):
             return False
         if not langs or chars.sum() < rules.min_chars:
             return True
