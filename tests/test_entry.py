@@ -4,7 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tessera.plans import carriers, oracles
+from tessera.plans import carriers, oracles, record_carriers
+
+QUERIES, ORACLES = carriers.QUERIES | record_carriers.QUERIES, oracles.ORACLES | record_carriers.ORACLES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -26,10 +28,10 @@ def plain(frame):
     return names, sorted(out)
 
 
-@pytest.mark.parametrize("name", sorted(oracles.ORACLES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_carrier_equals_its_sql(spark, duck, name):
-    got = carriers.QUERIES[name](spark, SF)
-    want = duck.sql(oracles.ORACLES[name])
+    got = QUERIES[name](spark, SF)
+    want = duck.sql(ORACLES[name])
     assert plain(got.toPandas().convert_dtypes().astype(object).where(lambda x: x.notna(), None)) == plain(want.df().convert_dtypes().astype(object).where(lambda x: x.notna(), None))
 
 
