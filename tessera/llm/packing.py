@@ -15,6 +15,8 @@ their pieces; null ids pass through; an empty table gives an empty table.
 from __future__ import annotations
 
 import json
+import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import materialize, numbered, small_batches
 
 MAX_LENGTH, END_ID = 2048, 1
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 
 
 class WordIds:
@@ -43,7 +45,8 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.kind, self.letter = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
         self.limit = cache_words
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -53,15 +56,28 @@ class WordIds:
         before = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         self.by_word = steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in before] == ["Split", "ByteLevel"]
         if self.by_word:
-            self.split = regex.compile(before[0]["pattern"]["Regex"])
+            pattern = before[0]["pattern"]["Regex"]
+            self.split = regex.compile(pattern)
+            # The same on small ASCII letters, digits and signs, where the standard library's faster engine will do.
+            self.split_ascii = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"))
+            self.safe_ascii = re.compile(r"[!-;=?-~]+")
             self.safe = regex.compile(r"[!-;=?-~¡-ɏ]+")  # small letters of these come one by one; no "<" or ">": special tokens hold them
             self.shown = _byte_letters()
 
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
+
+    def _hold(self, word: str, found: bytes) -> bytes:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        self.young[word] = found
+        return found
+
     def _core(self, piece: str) -> bytes:
         found = self.cores.get(piece)
         if found is None:
             shown = piece if piece.isascii() else "".join(self.shown[b] for b in piece.encode())
-            found = np.array([x.id for x in self.tokenizer.model.tokenize(shown)], dtype=self.kind).tobytes()
+            found = self._packed([x.id for x in self.tokenizer.model.tokenize(shown)])
             if len(self.cores) >= self.limit:
                 self.cores.clear()
             self.cores[piece] = found
@@ -70,14 +86,16 @@ class WordIds:
     def _missing(self, word: str) -> bytes:
         found = self.old.get(word)
         if found is None:
-            if self.safe.fullmatch(word) and unicodedata.is_normalized("NFC", word):
+            if word.isascii():
+                if word.isalpha():  # one run of letters
+                    found = self._core(word.lower())
+                elif self.safe_ascii.fullmatch(word):
+                    found = b"".join(map(self._core, self.split_ascii.findall(word.lower())))
+            elif self.safe.fullmatch(word) and unicodedata.is_normalized("NFC", word):
                 found = b"".join(map(self._core, self.split.findall(word.lower())))
-            else:
-                found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.kind).tobytes()
-        if len(self.young) >= self.limit:
-            self.old, self.young = self.young, {}
-        self.young[word] = found
-        return found
+            if found is None:
+                found = self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        return self._hold(word, found)
 
     def ids(self, text: str) -> np.ndarray:
         if not self.by_word:
