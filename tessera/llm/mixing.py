@@ -121,3 +121,31 @@ def mix_digest(docs: DataFrame) -> DataFrame:
     """doc_id, source and the mix columns: the digest form of :func:`mix_sources`."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"))
     return mix_sources(rows)
+
+
+#: DuckDB: shares by largest remainder, one period slot by slot by earliest deadline, and each row's place by its number within its source.
+ORACLE_SQL = r"""
+WITH RECURSIVE counts AS (SELECT source, count(*) AS n_rows FROM documents GROUP BY source),
+ranked AS (SELECT source, sqrt(CAST(n_rows AS DOUBLE)) AS target, row_number() OVER (ORDER BY source NULLS FIRST) AS r FROM counts),
+whole AS (SELECT list_sum(list(target ORDER BY r)) AS total, count(*) AS k, greatest(1000, 4 * count(*)) AS period FROM ranked),
+exact AS (SELECT source, r, period, period - k AS free, target / total * (period - k) AS x FROM ranked, whole),
+parts AS (SELECT *, row_number() OVER (ORDER BY round(x - floor(x), 9) DESC, r) AS place, free - sum(CAST(floor(x) AS BIGINT)) OVER () AS left_over FROM exact),
+shares AS (SELECT source, r, period, CAST(1 + CAST(floor(x) AS BIGINT) + CAST(place <= left_over AS BIGINT) AS BIGINT) AS share FROM parts),
+one AS (SELECT list(share ORDER BY r) AS s, any_value(period) AS period FROM shares HAVING count(*) > 0),
+run AS (
+  SELECT CAST(-1 AS BIGINT) AS t, CAST(0 AS BIGINT) AS pick, list_transform(s, lambda a: CAST(0 AS BIGINT)) AS done FROM one
+  UNION ALL
+  SELECT t + 1, pick2, list_transform(done, lambda d, i: d + CAST(i = pick2 AS BIGINT)) FROM (
+    SELECT t, done, list_min(list_transform(
+      list_filter(range(1, CAST(len(s) + 1 AS BIGINT)), lambda i: done[i] < s[i] AND done[i] * period // s[i] <= t + 1),
+      lambda i: {'due': ((done[i] + 1) * period + s[i] - 1) // s[i], 'r': i})).r AS pick2
+    FROM run, one WHERE t + 1 < period)),
+slots AS (SELECT pick AS r, t AS "offset", row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn FROM run WHERE t >= 0 AND pick IS NOT NULL),
+hashed AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+placed AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY CAST('0x' || substr(h, 5, 2) AS INTEGER), h, doc_id NULLS FIRST) - 1 AS n FROM hashed),
+blocks AS (SELECT p.doc_id, p.source, p.n // 32 AS b, p.n % 32 AS m, s.r, s.share, s.period FROM placed p JOIN shares s ON p.source IS NOT DISTINCT FROM s.source)
+SELECT b.doc_id, b.source, CAST(b.b AS BIGINT) AS mix_block, CAST(b.b // b.share * b.period + s."offset" AS BIGINT) AS mix_slot,
+  CAST(b.b * b.period // b.share AS BIGINT) AS mix_release, CAST(((b.b + 1) * b.period + b.share - 1) // b.share AS BIGINT) AS mix_due, CAST(b.m AS INTEGER) AS mix_row
+FROM blocks b LEFT JOIN slots s ON s.r = b.r AND s.turn = b.b % b.share
+"""

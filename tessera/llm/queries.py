@@ -66,5 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op6_suffix_automaton_dedup": substrings.ORACLE_SQL,
     "op7_hash_tree_shards": sharding.ORACLE_SQL,
+    "op8_pfair_mix": mixing.ORACLE_SQL,
     "op10_jaccard_join": jaccard.ORACLE_SQL,
 }

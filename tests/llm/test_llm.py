@@ -500,6 +500,20 @@ def test_mix_equals_slot_by_slot_scheduling(spark):
         assert got == brute_mix(Counter(s for _, s in rows), shares, sum(shares.values()), block)
 
 
+def test_mix_equals_its_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    rows = [(None if i == 7 else i, None if i % 50 == 0 else "hot" if i % 3 else f"s{i % 11}") for i in range(60_000)]
+    for part in (rows, rows[:5], []):
+        df = spark.createDataFrame(part, "doc_id long, source string")
+        con = duckdb.connect()
+        con.register("documents", df.toArrow())
+        found = con.execute(mixing.ORACLE_SQL)
+        names = [c[0] for c in found.description]
+        got = mixing.mix_digest(df)
+        order = lambda r: tuple((x is not None, x) for x in r)
+        assert sorted(map(tuple, got.select(names).collect()), key=order) == sorted(found.fetchall(), key=order) and sorted(names) == sorted(got.columns)
+
+
 def test_clashing_names_pass_through(spark):
     names = ["_row", "_hash", "_s", "_turn", "_share2", "_key", "_n", "_before", "_rank", "_sub", "_Digest", "_none", "MIX_SLOT", "mix_row"]
     rows = [(i, f"some words of text number {i} that go on for a while", "s", *[f"{n}{i}" for n in names]) for i in range(30)]
@@ -671,3 +685,16 @@ def test_one_row_of_each_component_is_kept(spark):
     assert len(firsts) == 1 and len(fours) == 1
     rest = [(None, text[1], "a"), (None, text[2], "a"), (5, text[3], "a"), (3, text[5] + " tail", "a"), (jaccard.NULL_ID, text[6], "a"), (None, text[7], "a"), *rows[-4:]]
     assert sorted(map(str, got)) == sorted(map(str, rest + firsts + fours))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_its_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    found = con.execute(queries.ORACLES[name])
+    names = [c[0] for c in found.description]
+    got = queries.QUERIES[name](spark, SF)
+    assert sorted(names) == sorted(got.columns)
+    order = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(tuple, got.select(names).collect()), key=order) == sorted(found.fetchall(), key=order)
