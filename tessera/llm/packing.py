@@ -4,9 +4,9 @@ A document's ids (with the end id) are cut into pieces of the longest length, th
 first.  Each piece is a sequence of its own and sequences of one length form a bucket, so no sequence crosses documents and
 none is padded.  Sequence ids are gapless, bucket by bucket, and numbered without gathering a bucket in one task.
 
-Tokenizing goes through a cache of the words seen before, held by each Python worker: the tokenizer's pre-tokenizer never joins
-across white space, so a text's ids are those of its words in turn.  Words that the short way below does not surely match go to
-the tokenizer's own ``encode``.
+Tokenizing goes by the distinct words of each Arrow batch, through a cache of the words seen before that each Python worker holds: the
+tokenizer's pre-tokenizer never joins across white space, so a text's ids are those of its words in turn.  Words that the short way below does
+not surely match go to the tokenizer's own ``encode``.
 
 Defined results: a null or empty text is the end id alone, one piece of length 1; texts are used whole; repeated rows each give
 their pieces; null ids pass through; an empty table gives an empty table.
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ CACHE_WORDS = 400_000
 class WordIds:
     """Ids of whole texts by a file of the ``tokenizers`` library, word by word through a bounded cache.
 
-    Two generations of at most ``cache_words`` words each bound the memory; a word in use moves to the young one.
+    Two generations bound the memory: a batch that finds ``cache_words`` words or more in the young one starts anew, and words in use move up.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -48,6 +49,7 @@ class WordIds:
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.kind, self.letter = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
         self.limit = cache_words
+        self.tokenize, self.packs = self.tokenizer.model.tokenize, {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
@@ -61,61 +63,81 @@ class WordIds:
             # The same on small ASCII letters, digits and signs, where the standard library's faster engine will do.
             self.split_ascii = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"))
             self.safe_ascii = re.compile(r"[!-;=?-~]+")
-            self.safe = regex.compile(r"[!-;=?-~¡-ɏ]+")  # small letters of these come one by one; no "<" or ">": special tokens hold them
+            self.safe = re.compile(r"[!-;=?-~¡-ɏ]+")  # small letters of these come one by one; no "<" or ">": special tokens hold them
             self.shown = _byte_letters()
 
     def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
+        pack = self.packs.get(len(ids))
+        if pack is None:
+            pack = self.packs[len(ids)] = struct.Struct(f"<{len(ids)}{self.letter}").pack
+        return pack(*ids)
 
-    def _hold(self, word: str, found: bytes) -> bytes:
-        if len(self.young) >= self.limit:
-            self.old, self.young = self.young, {}
-        self.young[word] = found
-        return found
+    def _model(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
+        return self._packed([x.id for x in self.tokenize(shown)])
 
     def _core(self, piece: str) -> bytes:
-        found = self.cores.get(piece)
+        """Ids of one piece of a word; a run of small ASCII letters is a word of its own and shares the words' cache."""
+        known = self.young if piece.isascii() and piece.isalpha() else self.cores
+        found = known.get(piece)
         if found is None:
-            shown = piece if piece.isascii() else "".join(self.shown[b] for b in piece.encode())
-            found = self._packed([x.id for x in self.tokenizer.model.tokenize(shown)])
-            if len(self.cores) >= self.limit:
-                self.cores.clear()
-            self.cores[piece] = found
+            found = known[piece] = self._model(piece)
         return found
 
-    def _missing(self, word: str) -> bytes:
-        found = self.old.get(word)
-        if found is None:
-            if word.isascii():
-                if word.isalpha():  # one run of letters
-                    found = self._core(word.lower())
-                elif self.safe_ascii.fullmatch(word):
-                    found = b"".join(map(self._core, self.split_ascii.findall(word.lower())))
-            elif self.safe.fullmatch(word) and unicodedata.is_normalized("NFC", word):
-                found = b"".join(map(self._core, self.split.findall(word.lower())))
-            if found is None:
-                found = self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        return self._hold(word, found)
+    def _fresh(self, word: str) -> bytes:
+        """Ids of a word that no cache holds."""
+        if word.isascii():
+            if word.isalpha():  # one run of letters
+                return self._packed([x.id for x in self.tokenize(word)]) if word.islower() else self._core(word.lower())
+            if self.safe_ascii.fullmatch(word):
+                return b"".join(map(self._core, self.split_ascii.findall(word.lower())))
+        elif self.safe.fullmatch(word) and unicodedata.is_normalized("NFC", word):
+            low = word.lower()
+            return self._core(low) if low.isalpha() else b"".join(map(self._core, self.split.findall(low)))
+        return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        if len(self.cores) >= self.limit:
+            self.cores.clear()
+        young, older, fresh = self.young, self.old.get, self._fresh
+        found = list(map(young.get, words))
+        for i, ids in enumerate(found):
+            if ids is None:
+                word = words[i]
+                ids = older(word)
+                if ids is None:
+                    ids = fresh(word)
+                found[i] = young[word] = ids
+        return found
 
-    def ids(self, text: str) -> np.ndarray:
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty) in one array, and at which places of it each begins and the last ends."""
+        texts = pc.fill_null(texts, "")
         if not self.by_word:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        words = text.replace("\n", " ").split(" ")
-        get, missing = self.young.get, self._missing
-        parts = [get(w) for w in words]
-        if None in parts:
-            parts = [missing(w) if p is None else p for w, p in zip(words, parts, strict=True)]
-        return np.frombuffer(b"".join(parts), dtype=self.kind).astype("<u4")
+            each = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in texts.to_pylist()]
+            return np.array([i for ids in each for i in ids], dtype="<u4"), np.cumsum([0, *map(len, each)])
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        found = self._of_words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ends = np.zeros(len(found) + 1, dtype=np.int32)
+        np.cumsum(np.fromiter(map(len, found), dtype=np.int32, count=len(found)) // self.kind.itemsize, out=ends[1:])
+        known = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), dtype=self.kind)))
+        taken = known.take(coded.indices)
+        # Arrays that were made anew, so their offsets start at 0.
+        return taken.values.to_numpy().astype("<u4"), taken.offsets.to_numpy()[words.offsets.to_numpy()]
+
+    def ids(self, text: str) -> np.ndarray:
+        return self.ids_of(pa.array([text], pa.string()))[0]
 
 
-def _byte_letters() -> list[str]:
+def _byte_letters() -> dict[int, int]:
     """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else from 256 on."""
-    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters, free = {b: chr(b) for b in prints}, 256
-    for b in range(256):
-        if b not in letters:
-            letters[b], free = chr(free), free + 1
-    return [letters[b] for b in range(256)]
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in prints]
+    return {b: 256 + i for i, b in enumerate(others)}
 
 
 def pieces_of(n: int, longest: int = MAX_LENGTH) -> list[int]:
@@ -157,8 +179,10 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, longest: int =
         for batch in batches:
             rows: list[list] = [[] for _ in range(5)]
             held, counts = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(encoder.ids(text.as_py() or ""), np.uint32(end_id))
+            found, places = encoder.ids_of(batch.column(1))
+            places = places.tolist()
+            for doc_id, first, last in zip(batch.column(0).to_pylist(), places, places[1:], strict=False):
+                ids = np.append(found[first:last], np.uint32(end_id))
                 start, before = 0, len(rows[0])
                 for size in pieces_of(len(ids), longest):
                     part = ids[start : start + size]
