@@ -32,7 +32,7 @@ def closure(edges: DataFrame, ref: DataFrame, depth: int = MAX_DEPTH) -> DataFra
     """(code, dest): reference codes reached from each other code by at most ``depth`` edges through other codes.
 
     Reference codes absorb.  One join a level, each on what the last level found new, so cycles end and work is bounded by the pairs
-    reached.  Levels are written to the checkpoint folder, or stay in the plan where none is set.
+    reached.  Each level is written once, to the checkpoint folder; where none is set, it is cached.
     """
     steps = edges.where("src is not null and dst is not null and src <> '' and dst <> ''" if dict(edges.dtypes)["src"] == "string" else "src is not null and dst is not null").select("src", "dst").distinct()
     ends = ref.select(F.col("code").alias("dst")).distinct().withColumn("absorbs", F.lit(True))
@@ -45,7 +45,7 @@ def closure(edges: DataFrame, ref: DataFrame, depth: int = MAX_DEPTH) -> DataFra
         frontier = cut(frontier)
         if frontier.isEmpty():
             break
-        reached = cut(reached.unionByName(frontier))
+        reached = reached.unionByName(frontier)
     return reached.where("absorbs").select("code", F.col("at").alias("dest")).distinct()
 
 

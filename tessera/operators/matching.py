@@ -115,35 +115,52 @@ def link_names(rows: DataFrame, panel: DataFrame, cutoff: float = FUZZY_CUTOFF)
     return rows.join(found, F.col("province").eqNullSafe(F.col("_p")) & F.col("norm").eqNullSafe(F.col("_n")), "left").select("row_id", "name_status", "panel_idx")
 
 
+def length_pairs(words: DataFrame, panel: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
+    """Distinct pairs (word, name) whose lengths allow a ratio of ``cutoff``: an equi-join on the name lengths that a word can match."""
+    n, reach = F.length("word"), (2 - cutoff) / cutoff
+    left = words.select("word").distinct().select("word", F.explode(F.sequence(F.floor(n / reach), F.ceil(n * reach))).alias("_m"))
+    right = panel.select("name").distinct().withColumn("_m", F.length("name").cast("long"))
+    return left.join(right, "_m").where(length_bound(F.col("word"), F.col("name")) >= cutoff).select("word", "name")
+
+
 def region_pool(regions: DataFrame, panel: DataFrame, provinces: dict[str, list[str]]) -> DataFrame:
-    """(region, name, idx): panel names of the region, or of panel regions that contain one of its provinces' names; all if there are none.
+    """(region, name, idx): panel names of the region, or of panel regions that contain one of its provinces' names.
 
-    The theta join is between distinct region names of both sides, so it is as small as they are.
+    A region without any has no rows here: its pool is the whole panel, which the second stage of :func:`link_regions` scores once for
+    all such regions.  The theta join is between distinct region names of both sides, so it is as small as they are.
     """
     known = panel.select("region").where("region is not null").distinct()
     listed = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*[F.lit(y) for y in x]) for pair in provinces.items() for x in pair])
     asked = regions.select(F.col("region").alias("asked")).distinct().withColumn("its", F.coalesce(F.try_element_at(listed, F.col("asked")), F.array().cast("array<string>")))
     hit = (F.col("region") == F.col("asked")) | F.exists("its", lambda p: F.contains(F.lower("region"), F.lower(p)))
-    pairs = asked.join(known, hit, "left").select("asked", "region")
-    pooled = pairs.where("region is not null").join(panel.select("region", "name", "idx"), "region").select(F.col("asked").alias("region"), "name", "idx")
-    alone = pairs.groupBy("asked").agg(F.count("region").alias("n")).where("n = 0").select(F.col("asked").alias("region"))
-    return pooled.unionByName(alone.crossJoin(panel.select("name", "idx")).select("region", "name", "idx")) if provinces is not None else pooled
+    return asked.join(known, hit).select("asked", "region").join(panel.select("region", "name", "idx"), "region").select(F.col("asked").alias("region"), "name", "idx")
 
 
-def fuzzy_f2(words: DataFrame, pool: DataFrame, block: list[str] = (), threshold: float = POOL_THRESHOLD) -> DataFrame:
+def fuzzy_f2(words: DataFrame, pool: DataFrame, block: list[str] = (), threshold: float = POOL_THRESHOLD, sure: float = FUZZY_CUTOFF) -> DataFrame:
     """(block..., word, name, score): highest ratio in the pool, ties to the least idx; no name under ``threshold``, but its score.
 
-    Every name of the pool is scored, since the score of what fails is part of the result; pools are panels of names.
+    Words with a ratio of ``sure`` or more are settled by the equi-join on pieces, which loses no such pair.  Only the others are scored against
+    every name of their pool, since the score of what fails is part of the result.  Spark broadcasts a pool only if it finds it small.
     """
-    scored = words.select(*block, "word").distinct().join(F.broadcast(pool) if not block else pool, list(block) or None, "inner" if block else "cross").withColumn("score", seq_ratio(F.col("word"), F.col("name")))
-    best = scored.groupBy(*block, "word").agg(F.max(F.struct("score", (-F.col("idx")).alias("order"), "name")).alias("m"))
-    return best.select(*block, "word", F.when(F.col("m.score") >= threshold, F.col("m.name")).alias("name"), F.col("m.score").alias("score"))
+    by = list(block)
+    asked = words.select(*by, "word").distinct()
+    names = pool.groupBy(*by, "name").agg(F.min("idx").alias("idx"))
+
+    def best(pairs: DataFrame) -> DataFrame:
+        scored = pairs.withColumn("score", seq_ratio(F.col("word"), F.col("name")))
+        return scored.groupBy(*by, "word").agg(F.max(F.struct("score", (-F.col("idx")).alias("order"), "name")).alias("m"))
+
+    near = fuzzy_candidates(asked, names, sure, by).join(names, [*by, "name"])
+    settled = cut(best(near).where(F.col("m.score") >= sure))
+    open_ = asked.join(settled.select(*by, "word"), [*by, "word"], "left_anti")
+    rest = best(open_.join(names, by) if by else open_.crossJoin(names))
+    return settled.unionByName(rest).select(*by, "word", F.when(F.col("m.score") >= threshold, F.col("m.name")).alias("name"), F.col("m.score").alias("score"))
 
 
 def link_regions(rows: DataFrame, panel: DataFrame, provinces: dict[str, list[str]], accept: float = ESCALATE_BELOW) -> DataFrame:
     """``rows`` (row_id, region, norm) with match_type, name and score: exact anywhere, else the region's best, else (if under
-    ``accept``) the whole panel's if strictly better; accepted from ``accept`` on.  ``panel`` has idx, region, norm; the last row of a name counts."""
-    names = panel.groupBy("norm").agg(F.max("idx").alias("idx"))
+    ``accept``) the whole panel's if strictly better; accepted from ``accept`` on.  ``panel`` has idx, region, norm; names stand in the order of their first rows."""
+    names = panel.groupBy("norm").agg(F.min("idx").alias("idx"))
     exact = rows.join(names.select("norm", F.col("norm").alias("hit")), "norm", "left")
     done = exact.where("hit is not null").select("row_id", F.lit("exact").alias("match_type"), F.col("hit").alias("name"), F.lit(1.0).alias("score"))
     left = exact.where("hit is null").drop("hit")
@@ -172,4 +189,4 @@ def level_counts(matched: DataFrame) -> DataFrame:
     return matched.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
 
 
-__all__ = ["accent_name", "exact_match", "fuzzy_candidates", "fuzzy_f1", "fuzzy_f2", "level_counts", "link_names", "link_regions", "loose_name", "match_cascade", "reconcile", "region_pool"]
+__all__ = ["accent_name", "exact_match", "fuzzy_candidates", "fuzzy_f1", "fuzzy_f2", "length_pairs", "level_counts", "link_names", "link_regions", "loose_name", "match_cascade", "reconcile", "region_pool"]

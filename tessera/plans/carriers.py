@@ -199,8 +199,7 @@ def fuzzy_f2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fuzzy_length_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     words, panel = _names(spark, sf_dir)
-    pairs = words.select(F.col("norm").alias("word")).distinct().crossJoin(F.broadcast(panel.select(F.col("norm").alias("name"))))  # 64 names by as many
-    return pairs.where(length_bound(F.col("word"), F.col("name")) >= 0.85).select("word", "name")
+    return matching.length_pairs(words.select(F.col("norm").alias("word")), panel.select(F.col("norm").alias("name")), 0.85)
 
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:

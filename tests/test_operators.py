@@ -93,6 +93,32 @@ def test_linking_widens_only_what_is_open(spark):
     assert rows_of(matching.link_names(rows, panel)) == [(1, "exact", 1), (2, "exact", 2), (3, "fuzzy", 2), (4, "exact", 0), (5, "no_ref", None), (6, "exact", 3)]
 
 
+def test_region_stages_agree_with_the_library(spark):
+    """Region first, then the whole panel if strictly better; a region without names of its own has the whole panel."""
+    rng = random.Random(9)
+    name = lambda: "".join(rng.choices("ABCDE", k=rng.randint(0, 9)))
+    panel = [(i, rng.choice(["North", "South", None]), name()) for i in range(70)]
+    rows = [(i, rng.choice(["North", "South", "Nowhere", None]), name()) for i in range(60)]
+    got = {r[0]: r[1:] for r in rows_of(matching.link_regions(spark.createDataFrame(rows, "row_id long, region string, norm string"), spark.createDataFrame(panel, "idx long, region string, norm string"), {"North": ["north"]}))}
+    everyone = list(dict.fromkeys(n for _, _, n in panel))
+
+    def best(word, names):
+        scores = [SequenceMatcher(None, word, n).ratio() for n in names]
+        top = max(scores, default=0.0)
+        return (names[scores.index(top)] if top >= 0.75 else None), top
+
+    for i, region, word in rows:
+        if word in everyone:
+            assert got[i] == ("exact", word, 1.0)
+            continue
+        found, score = best(word, list(dict.fromkeys(n for _, r, n in panel if r == region and r)) or everyone)
+        if score < 0.85:
+            other = best(word, everyone)
+            if other[1] > score:
+                found, score = other
+        assert got[i] == (("fuzzy", found, score) if found and score >= 0.85 else ("none", None, score)), (i, region, word)
+
+
 def test_regions(spark):
     panel = spark.createDataFrame([(0, "Puglia", "BARI"), (1, "Lazio", "ROMA")], "idx long, region string, norm string")
     rows = spark.createDataFrame([(1, "Puglie", "BARI"), (2, "Puglie", "BARRI"), (3, "Puglie", "XYZ")], "row_id long, region string, norm string")
