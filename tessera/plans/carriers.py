@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as N
-from ..functions.similarity import length_bound
 from ..operators import corrections, lineage, matching, ocr, temporal, validation, workqueue
 
 #: Dates at which the synthetic entities are counted, and numbers to hold them against.

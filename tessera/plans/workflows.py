@@ -90,7 +90,7 @@ def link_population(pages: DataFrame, panel: DataFrame) -> dict[str, DataFrame]:
     """Entry 4: municipalities of OCR pages linked to the panel, both sides' leftovers, and the check of the three measures."""
     rows = ocr.parse_region_pages(pages).withColumn("norm", loose_name(F.col("comune_raw"))).withColumn("row_id", F.struct("region", "page", "line"))
     master = readers.panel_by_name(panel)
-    links = matching.link_regions(rows.select("row_id", "region", "norm"), master.select("idx", "region", F.col("loose").alias("norm")), dimensions.REGION_PROVINCES)
+    links = matching.link_regions(rows.select("row_id", "region", "norm"), panel.select("idx", "region", loose_name(F.col("comune_matchable_50")).alias("norm")), dimensions.REGION_PROVINCES)
     linked = rows.join(links.select("row_id", "match_type", F.col("name").alias("comune_matched"), F.col("score").alias("match_score")), "row_id")
     measures = ("popres_1921_tot", "popres_1921_f", "analfabeti_1921")
     sides = linked.join(master.select(F.col("loose").alias("comune_matched"), *[F.col(c).cast("long").alias(f"csv_{c}") for c in measures]), "comune_matched")
