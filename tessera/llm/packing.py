@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from .common import materialize, numbered, small_batches
 
 MAX_LENGTH, END_ID = 2048, 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+#: Bytes of text whose words are looked up at once; a longer text is taken by itself.
+RUN_BYTES = 1 << 20
 
 
 class WordIds:
@@ -129,6 +131,18 @@ class WordIds:
         # Arrays that were made anew, so their offsets start at 0.
         return taken.values.to_numpy().astype("<u4"), taken.offsets.to_numpy()[words.offsets.to_numpy()]
 
+    def runs(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text in turn, looked up by runs of texts of :data:`RUN_BYTES` in all, so that a batch's words are not all held at once."""
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < len(texts):
+            before = int(sizes[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(sizes, before + RUN_BYTES, side="right")))
+            found, places = self.ids_of(texts[first:last])
+            for a, b in zip(places.tolist(), places[1:].tolist(), strict=False):
+                yield found[a:b]
+            first = last
+
     def ids(self, text: str) -> np.ndarray:
         return self.ids_of(pa.array([text], pa.string()))[0]
 
@@ -179,10 +193,8 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, longest: int =
         for batch in batches:
             rows: list[list] = [[] for _ in range(5)]
             held, counts = [], []
-            found, places = encoder.ids_of(batch.column(1))
-            places = places.tolist()
-            for doc_id, first, last in zip(batch.column(0).to_pylist(), places, places[1:], strict=False):
-                ids = np.append(found[first:last], np.uint32(end_id))
+            for doc_id, found in zip(batch.column(0).to_pylist(), encoder.runs(batch.column(1)), strict=True):
+                ids = np.append(found, np.uint32(end_id))
                 start, before = 0, len(rows[0])
                 for size in pieces_of(len(ids), longest):
                     part = ids[start : start + size]
